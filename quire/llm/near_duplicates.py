@@ -22,7 +22,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.base import by_chars, cut, lean
@@ -35,6 +35,8 @@ WIDTH = 8
 #: Rows of a bucket joined by one task, and the copies of one text that are still spelled out pair by pair.
 BLOCK = 512
 COPIES = 256
+#: Size of the bitmap that keeps texts without candidates out of the exact check.
+FILTER_BITS = 25
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -71,8 +73,8 @@ def _seeds(n: int) -> np.ndarray:
     return (state ^ (state >> np.uint64(27))) | np.uint64(1)
 
 
-def _table_keys(text_words: list[list[bytes]]) -> np.ndarray:
-    """A row of table keys for each list of words."""
+def _coordinates(text_words: list[list[bytes]]) -> np.ndarray:
+    """A row of min-hash coordinates for each list of words, 32 bits each."""
     hashed: dict[bytes, int] = {}
     digest = xxhash.xxh3_64_intdigest
     flat: list[int] = []
@@ -101,19 +103,11 @@ def _table_keys(text_words: list[list[bytes]]) -> np.ndarray:
         v ^= v >> np.uint64(32)
         v *= _MIX[1]
         signature[:, k] = np.minimum.reduceat(v, begin)
-    keys = []
-    for g in range(GROUPS):
-        for m, mask in enumerate(masks()):
-            key = np.full(len(sizes), g * 64 + m + 1, dtype=np.uint64) * _MIX[2]
-            for i in mask:
-                key = (key ^ signature[:, g * WIDTH + i]) * _MIX[0]
-                key ^= key >> np.uint64(31)
-            keys.append(key)
-    return np.stack(keys, axis=1).astype(np.int64)
+    return (signature >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, low, high, keys): the digest of the word sequence and the table keys of each document that counts."""
+    """(doc_id, low, high, sig): the digest of the word sequence and the coordinates of each document that counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,12 +123,17 @@ def signatures(docs: DataFrame) -> DataFrame:
                         high.append(int.from_bytes(digest[8:], "big", signed=True))
                         words.append(pieces)
                 if ids:
-                    keys = _table_keys(words)
-                    ends = pa.array(np.arange(len(ids) + 1) * keys.shape[1], pa.int32())
-                    lists = pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), lists], ["doc_id", "low", "high", "keys"])
+                    sig = _coordinates(words)
+                    ends = pa.array(np.arange(len(ids) + 1) * sig.shape[1], pa.int32())
+                    lists = pa.ListArray.from_arrays(ends, pa.array(sig.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), lists], ["doc_id", "low", "high", "sig"])
 
-    return lean(docs, "doc_id", "text").mapInArrow(run, "doc_id long, low long, high long, keys array<long>")
+    return lean(docs, "doc_id", "text").mapInArrow(run, "doc_id long, low long, high long, sig array<int>")
+
+
+def table_keys(column: str) -> list[Column]:
+    """The key of a document in each table, from its coordinates."""
+    return [F.xxhash64(F.lit(g * 64 + m), *[F.col(column)[g * WIDTH + i] for i in mask]) for g in range(GROUPS) for m, mask in enumerate(masks())]
 
 
 def candidates(rows: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -153,10 +152,22 @@ def candidates(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     return twos.union(many).distinct()
 
 
+def among(docs: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``docs`` without most of those whose doc_id is not in ``wanted``: a filter before a shuffle, which a join must follow.
+
+    The ids set bits of one bitmap of ``2 ** bits`` bits, sent to all tasks in rows of 4 KB: at most 4 MB by default,
+    however many ids there are. The fuller the bitmap, the fewer rows it takes out; it never takes out a wanted one.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(2**bits)).cast("long")
+    maps = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("map"))
+    byte = F.conv(F.hex(F.substring("map", F.floor(F.bitmap_bit_position(spot) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = docs.withColumn("spot", spot).withColumn("bucket", F.bitmap_bucket_number("spot")).join(F.broadcast(maps), "bucket")
+    return kept.filter(F.getbit(byte, F.pmod(F.bitmap_bit_position("spot"), F.lit(8)).cast("int")) == 1).select(*docs.columns)
+
+
 def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of the pairs whose texts reach the threshold, computed on the whole texts."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = lean(docs, "doc_id", "text").dropDuplicates(["doc_id"]).join(wanted, "doc_id", "left_semi")
+    texts = among(lean(docs, "doc_id", "text"), pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))).dropDuplicates(["doc_id"])
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
@@ -175,11 +186,10 @@ def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
 def link(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The pairs (a, b, similarity) of class representatives, and the classes (doc_id, rep)."""
     signed = cut(signatures(docs))
-    first = signed.groupBy("low", "high").agg(F.min("doc_id").alias("rep"))
-    members = signed.select("doc_id", "low", "high").join(first, ["low", "high"]).select("doc_id", "rep").distinct()
-    chosen = signed.join(first.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    rows = chosen.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    pairs = cut(_checked(candidates(rows, block), docs, threshold))
+    chosen = signed.groupBy("low", "high").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    members = signed.select("doc_id", "low", "high").join(chosen.select("low", "high", "rep"), ["low", "high"]).select("doc_id", "rep").distinct()
+    rows = chosen.select(F.col("rep").alias("id"), F.explode(F.array(*table_keys("sig"))).alias("key"))
+    pairs = cut(_checked(cut(candidates(rows, block)), docs, threshold))
     return pairs, members
 
 
