@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import near_duplicates, tokens
+from quire.llm import garbled, near_duplicates, quality, tokens
 from quire.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def queries() -> dict[str, Query]:
     return {
         "p3_found": lambda s, d: near_duplicates.found(_documents(s, d)),
         "p3_groups": lambda s, d: near_duplicates.grouped(_documents(s, d)),
+        "p4_found": lambda s, d: quality.found(_documents(s, d)),
+        "p4_statistics": lambda s, d: quality.judged(_documents(s, d)),
+        "p5_found": lambda s, d: garbled.found(_documents(s, d)),
+        "p5_restored": lambda s, d: garbled.garbled(_documents(s, d)),
         "p7_ids": lambda s, d: tokens.encode_corpus(_documents(s, d)),
         "p7_offsets": lambda s, d: tokens.corpus_offsets(_documents(s, d)),
     }
