@@ -32,6 +32,8 @@ STOP = {word: code for code, words in reversed(COMMON.items()) for word in words
 STATISTICS = ("n_words", "mean_word", "symbol_ratio", "digit_ratio", "line_end_share", "common_share", "prose_share")
 #: A robust z-score beyond this is a tail, and no spread is taken to be smaller than its floor.
 TAIL = 3.0
+#: Steps of the percentiles read from a sketch.
+GRID = 40
 FLOOR = {"n_words": 20.0, "mean_word": 0.3, "symbol_ratio": 0.01, "digit_ratio": 0.01, "line_end_share": 0.1, "common_share": 0.03, "prose_share": 0.05}
 
 _WORD = "[^\\W\\d_]"
@@ -224,15 +226,15 @@ def scored(stats: DataFrame) -> DataFrame:
     fixed list and one for the rest), so it can be sent to every task whatever the number of documents.
     """
     sketches = stats.filter("n_words > 0").groupBy("language").agg(*[F.expr(f"kll_sketch_agg_double(double({c}))").alias(f"s_{c}") for c in STATISTICS])
-    quantile = "kll_sketch_get_quantile_double(s_{0}, {1}D)"
-    levels = sketches.select("language", *[F.col(f"s_{c}") for c in STATISTICS], *[F.expr(quantile.format(c, q)).alias(f"{n}_{c}") for c in STATISTICS for n, q in (("m", 0.5), ("l", 0.25), ("h", 0.75))])
+    marks = ", ".join(f"{k / GRID}D" for k in range(1, GRID))
+    levels = sketches.select("language", *[F.expr(f"kll_sketch_get_quantile_double(s_{c}, array({marks}))").alias(f"q_{c}") for c in STATISTICS])
     # at most len(COMMON) + 1 rows
     joined = stats.join(F.broadcast(levels), "language", "left")
     out = list(stats.columns)
     for c in STATISTICS:
-        spread = F.greatest((F.col(f"h_{c}") - F.col(f"l_{c}")) / 1.349, F.lit(FLOOR[c]))
-        joined = joined.withColumn(f"z_{c}", (F.col(c) - F.col(f"m_{c}")) / spread)
-        joined = joined.withColumn(f"p_{c}", F.when(F.col(c).isNotNull(), F.expr(f"kll_sketch_get_rank_double(s_{c}, double({c}))")))
+        low, middle, high = (F.col(f"q_{c}")[GRID * k // 4 - 1] for k in (1, 2, 3))
+        joined = joined.withColumn(f"z_{c}", (F.col(c) - middle) / F.greatest((high - low) / 1.349, F.lit(FLOOR[c])))
+        joined = joined.withColumn(f"p_{c}", F.when(F.col(c).isNotNull(), F.expr(f"size(filter(q_{c}, q -> q <= {c})) / {GRID}D")))
         out += [f"z_{c}", f"p_{c}"]
     return joined.select(*out)
 
