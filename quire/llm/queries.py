@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import garbled, near_duplicates, quality, tokens
+from quire.llm import garbled, near_duplicates, quality, tokens, truncation
 from quire.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,8 @@ def queries() -> dict[str, Query]:
         "p5_restored": lambda s, d: garbled.garbled(_documents(s, d)),
         "p7_ids": lambda s, d: tokens.encode_corpus(_documents(s, d)),
         "p7_offsets": lambda s, d: tokens.corpus_offsets(_documents(s, d)),
+        "p9_found": lambda s, d: truncation.found(_documents(s, d)),
+        "p9_sources": lambda s, d: truncation.by_source(_documents(s, d)),
     }
 
 
