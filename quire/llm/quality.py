@@ -58,6 +58,7 @@ HEADING = re.compile("(?i)^\\s*(?:table of contents|contents|index|inventory|lis
 _SPLIT = re.compile("[\r\n\x0b\x0c  ]+")
 _MARKED = re.compile("[.·…]{4,}\\s*\\d|, ?\\d{1,4}, ?\\d|(?m:^\\s*(?:\\d+[.):]|[-*+•]) )")
 _LONG = re.compile("\\S{45,}")
+_DIGITS = re.compile("\\d")
 _LETTERS = re.compile("[^\\W\\d_]")
 _END = re.compile("[.!?…][»”\"’')\\]]*$")
 _PUNCT = "“”‘’«»\"'().,;:!?…–—-„‚[]"
@@ -67,13 +68,17 @@ def line_class(line: str) -> str:
     """What one line that is not blank looks like: prose, list, table or junk; '' where it may be anything."""
     bare = line.strip()
     size = len(bare)
+    words = bare.split()
+    common = len([w for w in bare.lower().split() if w in STOP])
+    celled = "|" in bare or "│" in bare or "\t" in bare or "  " in bare or ";" in bare
+    if common * 4 >= len(words) >= 5 and not celled and "=" not in bare and "/" not in bare and ".." not in bare:
+        return "prose"
     if RUN.match(bare) or LOG.match(bare):
         return "junk"
-    words = bare.split()
     letters = sum(map(str.isalpha, bare))
     spaces = len(words) - 1
     dense = letters / max(1, size - spaces)
-    if "|" in bare or "│" in bare or "\t" in bare or "  " in bare or ";" in bare or ("," in bare and dense < 0.8):
+    if celled or ("," in bare and dense < 0.8):
         if CODE.search(bare) and dense < 0.85:
             return "junk"
         if TABLE.match(bare):
@@ -84,7 +89,6 @@ def line_class(line: str) -> str:
         return "junk"
     if "»" in bare and bare.count(" » ") >= 3 or "·" in bare and bare.count(" · ") >= 3:
         return "junk"
-    common = sum(w.strip(_PUNCT).lower() in STOP for w in words)
     if len(words) >= 4 and dense > 0.75 and (common * 8 >= len(words) or (len(words) >= 6 and common and not ENTRY.match(bare))):
         if ENTRY.match(bare) and common * 4 < len(words) and not _END.search(bare):
             return "list"
@@ -109,7 +113,7 @@ def shares(text: str) -> tuple[float, float, float, float, float]:
         size[kind] += len(line.strip())
     words = text.split()
     n = len(words)
-    common = sum(w.strip(_PUNCT).lower() in STOP for w in words) / n if n else 0.0
+    common = len([w for w in text.lower().split() if w in STOP]) / n if n else 0.0
     total = sum(size.values())
     if not total:
         return 0.0, 0.0, 0.0, 0.0, common
@@ -156,6 +160,9 @@ def kind_of(text: str | None) -> str:
     """list, table or junk where more than half of a text is not prose, else ''."""
     if not text or text.isspace():
         return ""
+    words = text.lower().split()
+    if len(words) > 30 and len([w for w in words if w in STOP]) * 4 >= len(words):
+        return ""  # no list, table or junk is a quarter common words
     prose, lists, tables, junk, _ = shares(text)
     if prose >= 0.5:
         return ""
@@ -165,8 +172,8 @@ def kind_of(text: str | None) -> str:
 def language(text: str) -> str:
     """The archive's language whose frequent words are the most among the first of ties, '' without any."""
     counts: dict[str, int] = {}
-    for word in text.split():
-        code = STOP.get(word.strip(_PUNCT).lower())
+    for word in text.lower().split():
+        code = STOP.get(word)
         if code:
             counts[code] = counts.get(code, 0) + 1
     return max(sorted(counts), key=counts.get) if counts else ""
@@ -180,8 +187,8 @@ def _measure(text: str | None) -> tuple:
     text = repaired(text)
     words = text.split()
     lines = [line for line in _SPLIT.split(text) if line and not line.isspace()]
-    letters = sum(map(str.isalpha, text))
-    digits = sum(map(str.isdigit, text))
+    letters = len(_LETTERS.findall(text))
+    digits = len(_DIGITS.findall(text))
     visible = sum(map(len, words))
     prose, lists, tables, junk, common = shares(text)
     ends = sum(bool(_END.search(line.rstrip()[-4:])) for line in lines)
