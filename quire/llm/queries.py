@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import garbled, near_duplicates, quality, scans, tokens, truncation
+from quire.llm import garbled, linkage, near_duplicates, quality, scans, tokens, truncation
 from quire.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": lambda s, d: linkage.found(table(s, d, "works"), table(s, d, "catalog_records")),
+        "p1_matches": lambda s, d: linkage.linked(table(s, d, "works"), table(s, d, "catalog_records")),
         "p2_found": lambda s, d: scans.found(_documents(s, d)),
         "p2_repaired": lambda s, d: scans.repaired(_documents(s, d)),
         "p3_found": lambda s, d: near_duplicates.found(_documents(s, d)),
