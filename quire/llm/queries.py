@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import garbled, linkage, near_duplicates, quality, scans, tokens, truncation
+from quire.llm import garbled, linkage, near_duplicates, quality, scans, subjects, tokens, truncation
 from quire.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def _subject_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: table(spark, sf_dir, name) for name in ("documents", "extractions", "subject_labels")}
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: linkage.found(table(s, d, "works"), table(s, d, "catalog_records")),
@@ -28,6 +32,8 @@ def queries() -> dict[str, Query]:
         "p4_statistics": lambda s, d: quality.judged(_documents(s, d)),
         "p5_found": lambda s, d: garbled.found(_documents(s, d)),
         "p5_restored": lambda s, d: garbled.garbled(_documents(s, d)),
+        "p6_found": lambda s, d: subjects.found(_subject_tables(s, d)),
+        "p6_composition": lambda s, d: subjects.composition(_subject_tables(s, d)),
         "p7_ids": lambda s, d: tokens.encode_corpus(_documents(s, d)),
         "p7_offsets": lambda s, d: tokens.corpus_offsets(_documents(s, d)),
         "p9_found": lambda s, d: truncation.found(_documents(s, d)),
