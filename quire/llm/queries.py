@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import garbled, linkage, near_duplicates, quality, scans, subjects, tokens, truncation
+from quire.llm import garbled, linkage, near_duplicates, packing, quality, scans, subjects, tokens, truncation
 from quire.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def _subject_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf_dir, name) for name in ("documents", "extractions", "subject_labels")}
 
 
+def _packing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: table(spark, sf_dir, name) for name in ("documents", "extractions", "corpus_specs")}
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: linkage.found(table(s, d, "works"), table(s, d, "catalog_records")),
@@ -36,6 +40,8 @@ def queries() -> dict[str, Query]:
         "p6_composition": lambda s, d: subjects.composition(_subject_tables(s, d)),
         "p7_ids": lambda s, d: tokens.encode_corpus(_documents(s, d)),
         "p7_offsets": lambda s, d: tokens.corpus_offsets(_documents(s, d)),
+        "p8_containers": lambda s, d: packing.packed(_packing_tables(s, d)),
+        "p8_usage": lambda s, d: packing.usage(_packing_tables(s, d)),
         "p9_found": lambda s, d: truncation.found(_documents(s, d)),
         "p9_sources": lambda s, d: truncation.by_source(_documents(s, d)),
     }
