@@ -17,9 +17,16 @@ def distinct_if(condition: Column, column: str) -> Column:
     return F.count_distinct(F.when(condition, F.col(column)))
 
 
-DOWNLOADED = F.col("download_status") == "downloaded"
-FAILED = F.col("download_status") == "failed"
-PROCESSED = F.col("extraction_status") == "processed"
+def is_downloaded() -> Column:
+    return F.col("download_status") == "downloaded"
+
+
+def is_failed() -> Column:
+    return F.col("download_status") == "failed"
+
+
+def is_processed() -> Column:
+    return F.col("extraction_status") == "processed"
 
 
 def stats(c: Catalog) -> DataFrame:
@@ -51,11 +58,11 @@ def summary(c: Catalog) -> DataFrame:
         F.count_distinct("work_id").alias("works"),
         F.count_distinct("file_id").alias("files"),
         F.sum("bytes").alias("bytes"),
-        F.sum(F.when(PROCESSED, F.col("char_count"))).alias("chars"),
-        distinct_if(DOWNLOADED, "file_id").alias("downloaded"),
-        distinct_if(FAILED, "file_id").alias("failed"),
+        F.sum(F.when(is_processed(), F.col("char_count"))).alias("chars"),
+        distinct_if(is_downloaded(), "file_id").alias("downloaded"),
+        distinct_if(is_failed(), "file_id").alias("failed"),
         distinct_if(F.col("download_id").isNull(), "file_id").alias("untried"),
-        distinct_if(PROCESSED, "extraction_id").alias("processed"),
+        distinct_if(is_processed(), "extraction_id").alias("processed"),
         distinct_if(F.col("extraction_status") == "failed", "extraction_id").alias("extraction_failed"),
         distinct_if(F.col("extraction_status") == "skipped", "extraction_id").alias("skipped"),
         distinct_if(usable_text(), "extraction_id").alias("usable_texts"),
@@ -67,14 +74,14 @@ def site_breakdown(c: Catalog, known: tuple[str, ...] = ("nowhere.example.org",)
     counted = c.chain.groupBy("site").agg(
         F.count_distinct("work_id").alias("works"),
         F.count("file_id").alias("files"),
-        count_if(DOWNLOADED).alias("downloaded"),
-        count_if(FAILED).alias("failed"),
+        count_if(is_downloaded()).alias("downloaded"),
+        count_if(is_failed()).alias("failed"),
         count_if(F.col("download_status").isin("pending", "downloading")).alias("active"),
         count_if(F.col("trust_level") != "trusted").alias("untrusted"),
-        count_if(PROCESSED).alias("processed"),
+        count_if(is_processed()).alias("processed"),
         count_if(usable_text()).alias("usable"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(F.when(PROCESSED, F.col("char_count"))), F.lit(0)).alias("chars"),
+        F.coalesce(F.sum(F.when(is_processed(), F.col("char_count"))), F.lit(0)).alias("chars"),
     )
     sites = c.spark.createDataFrame([(s,) for s in known], "site string")  # a short configured list
     missing = sites.join(counted.select("site"), "site", "left_anti")
@@ -84,20 +91,20 @@ def site_breakdown(c: Catalog, known: tuple[str, ...] = ("nowhere.example.org",)
 
 def format_breakdown(c: Catalog) -> DataFrame:
     return c.chain.groupBy(or_else("format", "unknown").alias("format")).agg(
-        F.count("file_id").alias("files"), count_if(DOWNLOADED).alias("downloaded"), count_if(FAILED).alias("failed"), count_if(PROCESSED).alias("processed"), count_if(usable_text()).alias("usable")
+        F.count("file_id").alias("files"), count_if(is_downloaded()).alias("downloaded"), count_if(is_failed()).alias("failed"), count_if(is_processed()).alias("processed"), count_if(usable_text()).alias("usable")
     )
 
 
 def trust_breakdown(c: Catalog) -> DataFrame:
     return c.chain.groupBy(or_else("trust_level", "trusted").alias("trust_level")).agg(
-        F.count(F.lit(1)).alias("rows"), count_if(DOWNLOADED).alias("downloaded"), count_if(FAILED).alias("failed"), count_if(F.col("scan_status") == "infected").alias("infected"), count_if(PROCESSED).alias("processed"), count_if(usable_text()).alias("usable")
+        F.count(F.lit(1)).alias("rows"), count_if(is_downloaded()).alias("downloaded"), count_if(is_failed()).alias("failed"), count_if(F.col("scan_status") == "infected").alias("infected"), count_if(is_processed()).alias("processed"), count_if(usable_text()).alias("usable")
     )
 
 
 def category_breakdown(c: Catalog) -> DataFrame:
     """Texts of downloaded files by category; a name outside the table of categories is reported as it is."""
     names = c.read("categories").select(F.col("name").alias("category"), F.lit(True).alias("known"))
-    rows = c.chain.filter(DOWNLOADED).withColumn("category", or_else("category", "unprocessed"))
+    rows = c.chain.filter(is_downloaded()).withColumn("category", or_else("category", "unprocessed"))
     return rows.groupBy("category").agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("char_count"), F.lit(0)).alias("chars")).join(F.broadcast(names), "category", "left").select("category", "rows", "chars", F.coalesce("known", F.lit(False)).alias("known"))  # categories do not grow
 
 
@@ -149,7 +156,7 @@ def list_works(c: Catalog, limit: int = 50, offset: int = 0, query: str | None =
         works = works.join(c.files.filter(F.col("site") == site).select(F.col("work_id").alias("id")), "id", "left_semi")
     page = works.orderBy(F.desc("created_at"), F.desc("id")).offset(offset).limit(limit)
     # the page is at most ``limit`` rows, so its semi join keeps the counting to the files of the page
-    counts = c.chain.join(F.broadcast(page.select(F.col("id").alias("work_id"))), "work_id", "left_semi").groupBy("work_id").agg(F.count_distinct("file_id").alias("files"), distinct_if(DOWNLOADED, "file_id").alias("downloaded"), distinct_if(usable_text(), "extraction_id").alias("usable"))
+    counts = c.chain.join(F.broadcast(page.select(F.col("id").alias("work_id"))), "work_id", "left_semi").groupBy("work_id").agg(F.count_distinct("file_id").alias("files"), distinct_if(is_downloaded(), "file_id").alias("downloaded"), distinct_if(usable_text(), "extraction_id").alias("usable"))
     return page.join(counts, page["id"] == counts["work_id"], "left").select("id", "title", "author", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("files", "downloaded", "usable")])
 
 
@@ -162,7 +169,7 @@ def list_files(c: Catalog, limit: int = 100, download: str | None = None, extrac
 
 
 def list_texts(c: Catalog, limit: int = 100, quality: str | None = None, category: str | None = None) -> DataFrame:
-    rows = c.chain.filter(PROCESSED & F.col("text_uri").isNotNull()).withColumn("quality", or_else("quality_status", "unvalidated")).withColumn("label", or_else("category", "uncategorized"))
+    rows = c.chain.filter(is_processed() & F.col("text_uri").isNotNull()).withColumn("quality", or_else("quality_status", "unvalidated")).withColumn("label", or_else("category", "uncategorized"))
     if quality:
         rows = rows.filter(F.col("quality") == quality)
     if category:
