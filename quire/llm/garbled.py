@@ -132,16 +132,32 @@ _TOKEN = re.compile("\\S+")
 
 
 def _unswap(text: str) -> str | None:
-    """The text with its lines or words of foreign look turned back, by the pair of pages that leaves the fewest traces."""
-    before = _traces(text)
-    best, least = None, (before, 0.0)
+    """The text with its lines or words of foreign look turned back, by the pair of pages that leaves the fewest traces.
+
+    The pair is chosen on the distinct words of the lines that bear traces; the whole text is turned back once."""
+    odd_lines = [line for line in text.split("\n") if not line.isascii() and _traces(line)]
+    words = sorted({w for line in odd_lines for w in line.split() if not w.isascii()})
+    joined = "\n".join(words)
+    best, least = None, (_traces(joined), 0.0)
     for read, written in SWAPPED:
-        page = _READ[read]
-        for piece in (_LINE, _TOKEN):
-            again = piece.sub(lambda m: _swap(m[0], page, written) if not m[0].isascii() and _traces(m[0]) else m[0], text)  # noqa: B023
+        again = "\n".join(_swap(w, _READ[read], written) for w in words)
+        if "\ufffd" not in again and (left := (_traces(again), -_common(again))) < least:
+            best, least = (_READ[read], written), left
+    if best is None:
+        odd = [w for w in words if _traces(w)]
+        least = (len(odd), 0.0)
+        for read, written in SWAPPED:
+            again = "\n".join(_swap(w, _READ[read], written) for w in odd)
             if "\ufffd" not in again and (left := (_traces(again), -_common(again))) < least:
-                best, least = again, left
-    return best if best is not None and least[0] * 4 <= before else None
+                best, least = (_READ[read], written), left
+    if best is None:
+        return None
+    before = _traces(text)
+    for piece in (_LINE, _TOKEN):
+        again = piece.sub(lambda m: _swap(m[0], *best) if not m[0].isascii() and _traces(m[0]) else m[0], text)
+        if _traces(again) * 4 <= before:
+            return again
+    return None
 
 
 def unswap_utf16(text: str) -> str | None:
