@@ -234,8 +234,8 @@ def scored(stats: DataFrame) -> DataFrame:
     """
     sketches = stats.filter("n_words > 0").groupBy("language").agg(*[F.expr(f"kll_sketch_agg_double(double({c}))").alias(f"s_{c}") for c in STATISTICS])
     # texts without any frequent word are held against all languages together: the sketches merge
-    pooled = sketches.agg(*[F.expr(f"kll_merge_agg_double(s_{c})").alias(f"s_{c}") for c in STATISTICS])
-    sketches = sketches.filter("language <> ''").unionByName(pooled.withColumn("language", F.lit("")))
+    pooled = sketches.groupBy(F.lit("").alias("language")).agg(*[F.expr(f"kll_merge_agg_double(s_{c})").alias(f"s_{c}") for c in STATISTICS])
+    sketches = sketches.filter("language <> ''").unionByName(pooled)
     marks = ", ".join(f"{k / GRID}D" for k in range(1, GRID))
     levels = sketches.select("language", *[F.expr(f"kll_sketch_get_quantile_double(s_{c}, array({marks}))").alias(f"q_{c}") for c in STATISTICS])
     # at most len(COMMON) + 1 rows
