@@ -203,6 +203,8 @@ def repair(text: str | None) -> tuple[bool, str | None, str]:
         if not name_got:
             break
         fixed, found = best, found + name_got
+    if 0 < found < 4 and not lost and _traces(text) >= 4 and (turned := _unswap(text)) is not None:
+        return True, turned, "page"  # well-formed by chance in a text of another page
     if found:
         return True, None if lost else fixed, "utf8"
     if lost:
