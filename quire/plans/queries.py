@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from quire.catalog import Catalog, latest
 from quire.functions import text as T
 from quire.functions import urls as U
-from quire.operators import analytics, corpus, merge, queues, search
+from quire.functions.clean import cleaned
+from quire.operators import analytics, corpus, merge, queues, search, titles
 from quire.predicates import effective_url, format_rank, size_bytes
 from quire.sources.readers import mode_of
 from quire.streaming import feeds
@@ -178,6 +179,15 @@ ENTRIES: dict[str, Entry] = {
       SELECT file_id, CASE WHEN s <> '' THEN s WHEN contains(t, 'html') THEN '.html' WHEN contains(t, 'pdf') THEN '.pdf' WHEN contains(t, 'epub') THEN '.epub' WHEN starts_with(t, 'text/') THEN '.txt' ELSE '.bin' END AS ext FROM u"""),
     "extract_dispatch": (lambda c: c.files.select("id", mode_of(F.coalesce("download_url", F.lit("")), F.col("format")).alias("mode")), """WITH u AS (SELECT id, lower(concat_ws(' ', coalesce(download_url, ''), coalesce(format, ''))) h FROM files) SELECT id, CASE WHEN regexp_matches(h, 'encrypted|drm') THEN 'skip:encrypted' WHEN contains(h, 'torrent') THEN 'skip:torrent' WHEN regexp_matches(h, '\\.gz\\b|gzip') THEN 'gzip'
       WHEN regexp_matches(h, 'html|\\.htm\\b|xml|\\.fb2\\b') THEN 'html' WHEN regexp_matches(h, 'text|\\.txt\\b|\\.md\\b|muse|\\.json\\b|\\.csv\\b') THEN 'text' WHEN contains(h, 'pdf') THEN 'pdf' WHEN contains(h, 'epub') THEN 'epub' WHEN regexp_matches(h, 'image|\\.(png|jpe?g|tiff?)\\b') THEN 'image' ELSE 'skip:unsupported' END AS mode FROM u"""),
+    "munge": (lambda c: _docs(c).select("doc_id", cleaned(F.col("text")).alias("text")), None),
+    "fuzzy_title_match": (titles.fuzzy_titles, f"""WITH t AS (SELECT id, list_distinct(list_filter(regexp_extract_all(lower(coalesce(title, '')), '[\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 2 AND w NOT IN ({", ".join(f"'{w}'" for w in titles.TITLE_STOP)}))) ws FROM works)
+      SELECT x.id AS a, y.id AS b FROM t x JOIN t y ON x.id < y.id AND len(x.ws) >= 2 AND len(y.ws) >= 2 AND len(list_intersect(x.ws, y.ws)) >= 0.8 * (len(x.ws) + len(y.ws) - len(list_intersect(x.ws, y.ws)))"""),
+    "dedupe_queries": (titles.distinct_queries, "WITH q AS (SELECT id, trim(regexp_replace(search_query, '[ \\t\\r\\n\\f]+', ' ', 'g'), ' ') query FROM works) SELECT id, query FROM (SELECT *, row_number() OVER (PARTITION BY lower(query) ORDER BY id) rn FROM q WHERE query <> '') WHERE rn = 1"),
+    "freshness": (titles.freshness, CTE + """, a AS (SELECT id, date_diff('second', date_trunc('second', updated_at), TIMESTAMP '2025-01-01 00:00:00') s FROM dl) SELECT id, coalesce(CASE WHEN s < 60 THEN s::VARCHAR || 's' WHEN s < 3600 THEN (s // 60)::VARCHAR || 'm' WHEN s < 172800 THEN (s // 3600)::VARCHAR || 'h' ELSE (s // 86400)::VARCHAR || 'd' END, 'never') AS age, coalesce(s >= 1800, true) AS stale FROM a"""),
+    "dynamic_category": (titles.word_category, f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) word FROM documents), n AS (SELECT doc_id, word, count(*) n FROM t WHERE word NOT IN ({", ".join(f"'{w}'" for w in (*T.COMMON, *T.NOT_WORDS))}) GROUP BY 1, 2 HAVING count(*) >= 3)
+      SELECT doc_id, word, n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) rn FROM n) WHERE rn = 1"""),
+    "quality_summary": (lambda c: _docs(c).select(T.quality_heuristic(F.col("text"))["status"].alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n")), f"""WITH t AS (SELECT doc_id, coalesce(text, '') text FROM documents), m AS (SELECT {TRIM.format('text')} bare, text, length(text) - length(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f-\\x{{9f}}]', '', 'g')) c,
+      length(text) - length(replace(text, chr(65533), '')) r, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]{{3,}}')) w, greatest(length(text), 1) n FROM t) SELECT CASE WHEN bare = '' OR contains(substring(text, 1, 200), chr(0)) OR c / n > 0.03 OR r / n > 0.02 THEN 'unusable' WHEN length(bare) < 120 OR w < 12 THEN 'suspect' ELSE 'usable' END AS status, count(*) AS n FROM m GROUP BY 1"""),
     "fts_tokens": (lambda c: search.body_tokens(c.documents).groupBy("token").agg(F.count_distinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("hits")), f"WITH {BODY} SELECT token, count(DISTINCT doc_id) AS documents, count(*) AS hits FROM tok GROUP BY 1"),
     "fts_postings": (lambda c: search.postings(search.indexed_texts(c)).groupBy("field", "token").agg(F.count_distinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("hits")), TEXTS + ", words AS (" + " UNION ALL ".join(f"SELECT doc_id, '{f}' AS field, unnest({TOKENS.format(f)}) token FROM texts" for f in search.WEIGHTS) + ") SELECT field, token, count(DISTINCT doc_id) AS documents, count(*) AS hits FROM words GROUP BY 1, 2"),
     "fts_all": (lambda c: search.match_all(c.documents, ["lantern", "harbour"]), f"WITH {BODY} SELECT doc_id FROM tok WHERE token IN ('lantern', 'harbour') GROUP BY 1 HAVING count(DISTINCT token) = 2"),
