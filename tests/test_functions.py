@@ -125,3 +125,23 @@ def test_manifest_is_the_same_however_often_built(spark):
     c = Catalog(spark, "/root/testdata/sf0.001")
     assert corpus.manifest(c, "x").collect() == corpus.manifest(c, "x").collect()
     assert corpus.shuffled_keys(["b", "a", "c"], 1) == corpus.shuffled_keys(["c", "b", "a"], 1)
+
+
+def test_clean_drops_furniture_and_joins_words(spark):
+    from quire.functions.clean import clean, cleaned
+
+    page = "RUNNING HEAD {k}\nThe divi-\nsion of “labour” ﬁts here and goes on for quite a while on this long line.\nMore of the paragraph that runs on past the break.\n{k}\n\n"
+    text = "".join(page.format(k=k) for k in (7, 8, 9))
+    out = clean(text)
+    assert "RUNNING" not in out and 'The division of "labour" fits here' in out and "\n7" not in out
+    assert clean(out) == out and clean(None) is None and clean("�\x01") == ""
+    assert one(spark, text, cleaned) == out
+
+
+def test_fuzzy_titles(spark):
+    from quire.operators.titles import fuzzy_titles
+
+    class Fake:
+        works = spark.createDataFrame([(1, "A History of the Old Empire in Dale"), (2, "History of the Old Empire, Dale"), (3, "The Old Castle of Hill"), (4, None)], "id long, title string")
+
+    assert fuzzy_titles(Fake()).collect() == [(1, 2)]
