@@ -130,8 +130,8 @@ def test_manifest_is_the_same_however_often_built(spark):
 def test_clean_drops_furniture_and_joins_words(spark):
     from quire.functions.clean import clean, cleaned
 
-    page = "RUNNING HEAD {k}\nThe divi-\nsion of “labour” ﬁts here and goes on for quite a while on this long line.\nMore of the paragraph that runs on past the break.\n{k}\n\n"
-    text = "".join(page.format(k=k) for k in (7, 8, 9))
+    page = "RUNNING HEAD {k}\nThe divi-\nsion of “labour” ﬁts here and goes on for {w} while on this long line.\nMore {w} of the paragraph that runs on past the break.\n{k}\n\n"
+    text = "".join(page.format(k=k, w=w) for k, w in ((7, "some"), (8, "quite a"), (9, "no")))
     out = clean(text)
     assert "RUNNING" not in out and 'The division of "labour" fits here' in out and "\n7" not in out
     assert clean(out) == out and clean(None) is None and clean("�\x01") == ""
