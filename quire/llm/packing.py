@@ -167,7 +167,7 @@ def containers(sized: DataFrame, spec_id: int, capacity: int, group: int = GROUP
         groups = max(1, -(-n // group))
         last = groups == 1
 
-        def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             rows = frame.sort_values(["doc_id", "part"])
             items = list(zip(rows["tokens"].tolist(), range(len(rows)), strict=True))
             out = []
@@ -180,7 +180,9 @@ def containers(sized: DataFrame, spec_id: int, capacity: int, group: int = GROUP
             return pd.DataFrame(out, columns=["spec_id", "container", "doc_id", "part", "tokens", "position"])
 
         slot = F.pmod(F.xxhash64("doc_id", "part", F.lit(rounds)), F.lit(groups))
-        packed = cut(rest.withColumn("slot", slot).groupBy("slot").applyInPandas(run, SCHEMA))
+        # packing costs far more than its few bytes tell: the tasks are set by the number of groups, not by their size
+        tasks = max(1, min(groups, max(4 * rest.sparkSession.sparkContext.defaultParallelism, groups // 25)))
+        packed = cut(rest.withColumn("slot", slot).repartition(tasks, "slot").groupBy("slot").applyInPandas(run, SCHEMA))
         done = done.unionByName(packed.filter("container is not null"))
         if last:
             break
@@ -198,7 +200,7 @@ def containers(sized: DataFrame, spec_id: int, capacity: int, group: int = GROUP
 def _as_packed(rows: DataFrame, spec_id: int, capacity: int, groups: int) -> DataFrame:
     """The containers of items that no further round improves: each group's own packing."""
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         rows = frame.sort_values(["doc_id", "part"])
         items = list(zip(rows["tokens"].tolist(), range(len(rows)), strict=True))
         out = [
