@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.session import cut, shared_dir, table
 
-__all__ = ["table", "cut", "shared_dir", "lean", "spread", "by_chars", "arrow_map"]
+__all__ = ["table", "cut", "shared_dir", "lean", "by_chars"]
 
 
 def lean(df: DataFrame, *columns: str) -> DataFrame:
@@ -18,16 +17,6 @@ def lean(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(c) for c in columns])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out the input splits of a table whose files hold too few row groups for the cores at hand.
-
-    A scan that already has at least one split per core is left alone (no shuffle); a table in fewer pieces is dealt out
-    round robin, which costs one shuffle of that table and keeps the Python stages from running on one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def by_chars(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of a batch that hold at most ``limit`` characters each (or one text that alone is longer)."""
     start = size = 0
@@ -39,23 +28,3 @@ def by_chars(texts: list, limit: int) -> Iterator[tuple[int, int]]:
         size += n
     if start < len(texts):
         yield start, len(texts)
-
-
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
-
-    return df.mapInArrow(run, schema)
-
-
-def present(column: Column) -> Column:
-    """True where a text holds any character but blanks."""
-    return F.coalesce(F.length(F.trim(column)) > 0, F.lit(False))
-
-
-def parquet_of(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return lean(table(spark, sf_dir, name), *columns)
