@@ -2,7 +2,8 @@
 
 Each document gets its counts and ratios, and the share of its characters that stand in lines of prose, of a list, of a table
 and of junk. For each language a mergeable quantile sketch of every statistic is built; values become percentiles and robust
-z-scores against it, and a document in a tail whose lines are for the most part not prose is named by the largest share.
+z-scores against it, which flag the tails. A document of which less than half is prose is named by the largest other share,
+whether it lies in a tail or not: where many texts of a language are lists or tables, none of them is in one.
 
 Defined cases: null, empty and blank texts have zero counts, null ratios and no kind; a language with one document has
 z-scores against the floor of the spread; repeated rows give repeated results; extra columns are ignored. Garbled texts are
@@ -250,7 +251,7 @@ def scored(stats: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """The statistics, scores, ``tail`` and ``kind`` of every document; kind is null for prose."""
+    """The statistics, scores, ``tail`` and ``kind`` of every document; kind is null for prose, ``tail`` has no part in it."""
     table = scored(cut(statistics(docs)))
     tail = (
         (F.col("z_prose_share") < -TAIL)
@@ -262,7 +263,7 @@ def judged(docs: DataFrame) -> DataFrame:
     )
     most = F.greatest("list_share", "table_share", "junk_share")
     kind = F.when(F.col("list_share") == most, "list").when(F.col("table_share") == most, "table").otherwise("junk")
-    return table.withColumn("tail", F.coalesce(tail, F.lit(False))).withColumn("kind", F.when(F.col("tail") & (F.col("prose_share") < 0.5), kind))
+    return table.withColumn("tail", F.coalesce(tail, F.lit(False))).withColumn("kind", F.when(F.col("prose_share") < 0.5, kind))
 
 
 def found(docs: DataFrame) -> DataFrame:

@@ -153,6 +153,14 @@ def test_scores_and_found(spark):
     assert row["tail"] and row["z_digit_ratio"] > 3
 
 
+def test_tables_are_found_however_many_there_are(spark):
+    many = "\n".join(f"{k}\tthe {k * 7}\tPlace" for k in range(20))
+    alone = "\n".join(f"{k}\tder {k * 7}\tOrt" for k in range(20))
+    rows = [(k, many if k % 5 < 2 else PROSE * (1 + k % 4)) for k in range(40)] + [(99, alone)]
+    got = {tuple(r) for r in quality.found(docs(spark, rows)).collect()}
+    assert got == {(k, "table") for k in range(40) if k % 5 < 2} | {(99, "table")}
+
+
 # --- 5 garbled
 
 
