@@ -95,6 +95,19 @@ def test_scan_faults_and_repair(spark):
     assert "theory of knowledge guided the regatta. It was a long-lost wall and a patient theory." in text and "FARFOSSON" not in text
 
 
+def test_faults_of_a_document_are_the_same_in_a_larger_corpus(spark, monkeypatch):
+    def corpus(n):
+        made = ["".join(chr(97 + k // 26**i % 26) for i in range(3)) for k in range(n)]
+        names = [f"Fenfosp{y}" for y in made] + [f"{y.capitalize()}fosport" for y in made] + [f"{y.capitalize()}porf" for y in made[: n // 10]]
+        return docs(spark, [(2 + k, f"{name} was here.") for k, name in enumerate(names)] + [(1, "They saw Fenfosport.\nThen Fenfosporf was gone.")])
+
+    for n in (100, 1000):
+        assert {tuple(r) for r in scans.found(corpus(n)).filter("doc_id = 1").collect()} == {(1, 2, "misread")}
+    monkeypatch.setattr(scans, "NAMES", 200)
+    small, large = scans.vocabulary(corpus(100))[1], scans.vocabulary(corpus(1000))[1]
+    assert small["rt$"] == pytest.approx(large["rt$"], rel=0.05) and large["rf$"] < 15
+
+
 # --- 3 near duplicates
 
 
