@@ -1,6 +1,7 @@
 """The training-data operators on small made-up tables, and against brute force, round trips and held-out labels."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,17 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {tuple(r) for r in near_duplicates.found(table).collect()} == brute(rows)
 
 
+def test_pairs_near_the_threshold_equal_brute_force(spark):
+    rng = random.Random(3)
+    made = [[f"w{rng.randrange(10**9)}" for _ in range(60)] for _ in range(300)]
+    rows = [(2 * k, " ".join(words)) for k, words in enumerate(made)]
+    rows += [(2 * k + 1, " ".join(words[: 41 + k % 3] + [f"v{rng.randrange(10**9)}" for _ in range(19 - k % 3)])) for k, words in enumerate(made)]
+    near = {(2 * k, 2 * k + 1) for k in range(300)}
+    texts = dict(rows)
+    assert all(0.5 <= near_duplicates.similarity(texts[a], texts[b]) < 0.55 for a, b in near)
+    assert {tuple(r) for r in near_duplicates.found(docs(spark, rows)).collect()} == near
+
+
 def test_hot_buckets_lose_no_pair(spark):
     rows = spark.range(40).select((F.col("id") + 1).alias("id"), F.lit(7).alias("key")).union(spark.createDataFrame([(100, 8), (101, 8)], "id long, key int"))
     got = {tuple(r) for r in near_duplicates.candidates(rows, block=8).collect()}
