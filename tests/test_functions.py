@@ -1,5 +1,8 @@
 """Text, URL, search, corpus and merge functions on rows made for the purpose."""
 
+import itertools
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +148,19 @@ def test_fuzzy_titles(spark):
         works = spark.createDataFrame([(1, "A History of the Old Empire in Dale"), (2, "History of the Old Empire, Dale"), (3, "The Old Castle of Hill"), (4, None)], "id long, title string")
 
     assert fuzzy_titles(Fake()).collect() == [(1, 2)]
+
+
+def test_fuzzy_titles_of_frequent_words(spark):
+    from quire.operators.titles import fuzzy_titles
+
+    class Fake:
+        rows = [(1, "History Empire"), (2, "Empire: a History"), (3, "History Empire River Castle Valley"), (4, "Castle River Empire History")]
+        works = spark.createDataFrame(rows + [(k, f"History Empire River Castle Valley f{k}a f{k}b f{k}c") for k in range(10, 220)], "id long, title string")
+
+    assert sorted(map(tuple, fuzzy_titles(Fake()).collect())) == [(1, 2), (3, 4)]
+    assert sorted(map(tuple, fuzzy_titles(Fake(), block=1).collect())) == [(1, 2), (3, 4)]
+    # at a lower bound the frequent words make the pairs, in many blocks
+    sets = [(i, set(re.findall("[a-z0-9]{3,}", title.lower()))) for i, title in Fake.rows]
+    sets += [(k, {"history", "empire", "river", "castle", "valley", f"f{k}a", f"f{k}b", f"f{k}c"}) for k in range(10, 220)]
+    want = {(i, j) for (i, x), (j, y) in itertools.combinations(sets, 2) if len(x & y) >= 0.45 * len(x | y)}
+    assert {tuple(r) for r in fuzzy_titles(Fake(), 0.45, block=7).collect()} == want
