@@ -259,7 +259,7 @@ def examples(batch: pa.RecordBatch, teacher) -> tuple[list[list[str]], np.ndarra
             targets.append(target)
             weights.append(max(m["w"] for m in marks))
             continue
-        parts = units(text, kind)[:400]
+        parts = units(text, kind)
         scores = scorer.sentences(parts)
         best = scores.argmax(1)
         for part, score, k in zip(parts, scores, best, strict=True):

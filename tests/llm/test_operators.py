@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +235,21 @@ def test_subjects_agree_with_the_hand_labels(spark):
     assert len(mine & labels) >= 0.6 * len(mine)
 
 
+def test_all_sentences_of_a_long_document_teach(monkeypatch):
+    class Sure:
+        def __init__(self, model):
+            pass
+
+        def sentences(self, parts):
+            return np.ones((len(parts), len(subjects.SUBJECTS)), np.float32)
+
+    monkeypatch.setattr(subjects, "Scorer", Sure)
+    text = " ".join(f"They followed the rumour of the regatta in the year {k}." for k in range(500))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "text": text, "marks": [{"subject": subjects.SUBJECTS[0], "w": 1.0}]}])
+    words, targets, weights = subjects.examples(batch, ())
+    assert len(words) == len(targets) == len(weights) == 500
+
+
 def test_no_labels_give_a_result_without_error(spark, odd):
     tables = {"documents": odd, "extractions": spark.createDataFrame([], "text_uri string, category string"), "subject_labels": spark.createDataFrame([], "doc_id long, subject string")}
     subjects.found(tables).collect()
