@@ -1,17 +1,20 @@
 """Near-duplicate documents with small edits (problem 3), by covering locality-sensitive hashing.
 
-Each document becomes ``GROUPS`` vectors of eight min-hash coordinates over its distinct runs of three words. A table is one
-bit mask over the eight coordinates of a group, and two documents collide in it when they agree on all the coordinates that
-the mask keeps. The masks of a group are the codewords of weight four of the first-order Reed-Muller code of length eight:
-the code has dimension four, so for any three coordinates some codeword other than zero vanishes on them, and every pair
-of vectors that differ in at most three coordinates collides in some table. Candidates are then checked exactly.
+Each document becomes ``GROUPS`` vectors of seven min-hash coordinates over its distinct runs of three words. A table is one
+bit mask over the seven coordinates of a group, and two documents collide in it when they agree on all the coordinates that
+the mask keeps. Coordinates are numbered by the vectors other than zero of three bits, and the mask of such a vector v keeps
+the three coordinates orthogonal to it: for any two coordinates some v is orthogonal to neither, so every pair of vectors that
+differ in at most two coordinates collides in some table, and so do 28 of 35 of those that differ in three.
 
 The search is certain for vectors, not for texts: a coordinate agrees with the probability of the similarity, so a pair is
-missed by all ``GROUPS`` groups with the chance 0.0009 at a similarity of 0.50, 0.0003 at 0.52 and 0.0001 at 0.55.
+found with the probability 0.992 at a similarity of 0.50, 0.996 at 0.52, 0.998 at 0.55 and 0.9997 at 0.60.
 
-Equal word sequences are one class with one representative; only representatives are hashed. Buckets of two give their pair
-from a fixed-width aggregate; larger ones are joined on the key; those above ``BLOCK`` rows are joined block by block over
-several tasks, so that no bucket is ever held by one task and none is cut short.
+Equal word sequences are one class with one representative; only representatives are hashed. The rows of a key are counted
+with partial sums before any shuffle, so no key is hot there. Buckets of two give their pair from the fixed-width sums; only
+the keys of larger ones go on, picked by a bitmap before the shuffle, and those above ``BLOCK`` rows are dealt by a salt and
+joined block by block, so that no bucket is ever held by one task and none is cut short. Candidates are weighed by the coordinates of both texts
+before the texts are fetched: a pair that agrees on fewer than ``AGREE`` of 49 has a similarity of 0.5 with a
+probability below 0.0003. What is left is checked exactly on whole texts.
 
 Defined cases: null, empty and short texts (fewer than ``MIN_WORDS`` words) belong to no class and have no pair; repeated
 rows of one doc_id count once; ties do not arise, as ids order the pairs; extra columns are ignored.
@@ -20,7 +23,6 @@ rows of one doc_id count once; ties do not arise, as ids order the pairs; extra
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -33,24 +35,23 @@ from quire.llm.base import by_chars, cut, lean
 RUN = 3
 MIN_WORDS = 30
 THRESHOLD = 0.5
-GROUPS = 13
-WIDTH = 8
-#: Rows of a bucket joined by one task, and the copies of one text that are still spelled out pair by pair.
+GROUPS = 7
+WIDTH = 7
+#: Rows of a bucket joined by one task, the parts that larger buckets are read in, and the copies of one text that are still spelled out pair by pair.
 BLOCK = 512
+SALTS = 64
 COPIES = 256
-#: Size of the bitmap that keeps texts without candidates out of the exact check.
-FILTER_BITS = 25
+#: Coordinates that two texts must agree on to be compared, at a similarity of one half (24.5 of 49 on average, spread 3.5).
+AGREE = 13
+#: Most bits of a bitmap sent to all tasks (64 MB); a smaller one has eight bits for each value.
+FILTER_BITS = 29
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
 def masks() -> list[tuple[int, ...]]:
     """The coordinates that each table of a group keeps."""
-    found = []
-    for a0, *a in product((0, 1), repeat=4):
-        word = tuple(i for i in range(WIDTH) if (a0 + sum(a[k] & (i >> k) for k in range(3))) % 2)
-        if len(word) == WIDTH // 2:
-            found.append(word)
-    return found
+    names = range(1, WIDTH + 1)
+    return [tuple(m - 1 for m in names if not (m & v).bit_count() % 2) for v in names]
 
 
 def words_of(text: str) -> list[bytes]:
@@ -77,7 +78,7 @@ def _seeds(n: int) -> np.ndarray:
 
 
 def _coordinates(text_words: list[list[bytes]]) -> np.ndarray:
-    """A row of min-hash coordinates for each list of words, 32 bits each."""
+    """A row of min-hash coordinates for each list of words, 16 bits each."""
     hashed: dict[bytes, int] = {}
     digest = xxhash.xxh3_64_intdigest
     flat: list[int] = []
@@ -106,7 +107,7 @@ def _coordinates(text_words: list[list[bytes]]) -> np.ndarray:
         v ^= v >> np.uint64(32)
         v *= _MIX[1]
         signature[:, k] = np.minimum.reduceat(v, begin)
-    return (signature >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (signature >> np.uint64(48)).astype(np.uint16)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -127,72 +128,93 @@ def signatures(docs: DataFrame) -> DataFrame:
                         words.append(pieces)
                 if ids:
                     sig = _coordinates(words)
-                    ends = pa.array(np.arange(len(ids) + 1) * sig.shape[1], pa.int32())
-                    lists = pa.ListArray.from_arrays(ends, pa.array(sig.ravel()))
+                    lists = pa.array([row.tobytes() for row in sig], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), lists], ["doc_id", "low", "high", "sig"])
 
-    return lean(docs, "doc_id", "text").mapInArrow(run, "doc_id long, low long, high long, sig array<int>")
+    return lean(docs, "doc_id", "text").mapInArrow(run, "doc_id long, low long, high long, sig binary")
 
 
 def table_keys(column: str) -> list[Column]:
-    """The key of a document in each table, from its coordinates."""
-    return [F.xxhash64(F.lit(g * 64 + m), *[F.col(column)[g * WIDTH + i] for i in mask]) for g in range(GROUPS) for m, mask in enumerate(masks())]
+    """The key of a document in each table, from its coordinates of two bytes each."""
+    return [F.xxhash64(F.lit(g * 64 + m), *[F.substring(column, 2 * (g * WIDTH + i) + 1, 2) for i in mask]) for g in range(GROUPS) for m, mask in enumerate(masks())]
 
 
 def candidates(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b) with a < b: the pairs of ids that share a key in ``rows`` (id, key), each once."""
-    rows = rows.repartition(F.col("key"))
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n > 1 and a < b")
+    sizes = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n > 1 and a < b"))
     twos = sizes.filter("n = 2").select("a", "b")
-    more = rows.join(sizes.filter("n > 2").select("key", "n"), "key")
+    middle = sizes.filter((F.col("n") > 2) & (F.col("n") <= block)).select("key")
+    own = among(rows, middle, "key").join(middle, "key")
+    pairs = own.alias("x").join(own.alias("y"), "key").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    # each row of a large bucket meets every block once: as the left side in (own, j) and as the right side in (i, own)
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
-    # each row meets every block once: as the left side in (own, j) and as the right side in (i, own)
-    placed = more.select("id", "key", own.alias("own"), blocks.alias("blocks"))
-    left = placed.select("id", "key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    right = placed.select(F.col("id").alias("b"), "key", F.col("own").alias("other"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"))
+    large = sizes.filter(F.col("n") > block).select("key", blocks.alias("blocks"))
+    salt = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SALTS)).cast("int")
+    dealt = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = among(rows, large, "key").withColumn("salt", salt).join(dealt, ["key", "salt"]).select("id", "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = placed.select("id", "key", "own", every.alias("other"))
+    right = placed.select(F.col("id").alias("b"), "key", F.col("own").alias("other"), every.alias("own"))
     many = left.join(right, ["key", "own", "other"]).filter("id < b").select(F.col("id").alias("a"), "b")
-    return twos.union(many).distinct()
+    return twos.union(pairs).union(many).distinct()
 
 
-def among(docs: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """``docs`` without most of those whose doc_id is not in ``wanted``: a filter before a shuffle, which a join must follow.
+def among(rows: DataFrame, wanted: DataFrame, column: str, most_bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not in ``wanted``: a filter before a shuffle, which a join must
+    follow; it never takes out a wanted row.
 
-    The ids set bits of one bitmap of ``2 ** bits`` bits, sent to all tasks in rows of 4 KB: at most 4 MB by default,
-    however many ids there are. The fuller the bitmap, the fewer rows it takes out; it never takes out a wanted one.
+    The wanted values, which should lie in a checkpoint, are counted, and set bits of one bitmap of eight bits for each, but of ``2 ** most_bits`` bits at most,
+    which is sent to all tasks in rows of 4 KB. Beyond that size the bitmap is fuller and takes out fewer rows.
     """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(2**bits)).cast("long")
+    bits = min(most_bits, max(15, (8 * wanted.count()).bit_length()))
+    spot = F.pmod(F.xxhash64(column), F.lit(2**bits)).cast("long")
     maps = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("map"))
     byte = F.conv(F.hex(F.substring("map", F.floor(F.bitmap_bit_position(spot) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    kept = docs.withColumn("spot", spot).withColumn("bucket", F.bitmap_bucket_number("spot")).join(F.broadcast(maps), "bucket")
-    return kept.filter(F.getbit(byte, F.pmod(F.bitmap_bit_position("spot"), F.lit(8)).cast("int")) == 1).select(*docs.columns)
+    kept = rows.withColumn("spot", spot).withColumn("bucket", F.bitmap_bucket_number("spot")).join(F.broadcast(maps), "bucket")
+    return kept.filter(F.getbit(byte, F.pmod(F.bitmap_bit_position("spot"), F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
+def _paired(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
+    """``pairs`` (a, b) with the ``value`` of both ends in ``side`` (id, value) as left and right."""
+    left, right = side.select(F.col("id").alias("a"), F.col(value).alias("left")), side.select(F.col("id").alias("b"), F.col(value).alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def likely(pairs: DataFrame, signed: DataFrame, agree: int = AGREE) -> DataFrame:
+    """The pairs (a, b) whose signatures in ``signed`` (id, sig) agree on enough coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for k in (2, 3))
+                keep = pa.array((left == right).sum(1) >= agree)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
+
+    return _paired(pairs, signed, "sig").mapInArrow(run, "a long, b long")
 
 
 def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of the pairs whose texts reach the threshold, computed on the whole texts."""
-    texts = among(lean(docs, "doc_id", "text"), pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))).dropDuplicates(["doc_id"])
-    both = (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
-        .select("a", "b", "left", "right")
-    )
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    texts = among(lean(docs, "doc_id", "text"), ends, "doc_id").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = [similarity(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            keep = pa.array([s >= threshold for s in score])
+            keep = pa.array([s >= threshold for s in score], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score, pa.float64())], ["a", "b", "similarity"]).filter(keep)
 
-    return both.mapInArrow(run, "a long, b long, similarity double")
+    return _paired(pairs, texts, "text").mapInArrow(run, "a long, b long, similarity double")
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The pairs (a, b, similarity) of class representatives, and the classes (doc_id, rep)."""
     signed = cut(signatures(docs))
-    chosen = signed.groupBy("low", "high").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
-    members = signed.select("doc_id", "low", "high").join(chosen.select("low", "high", "rep"), ["low", "high"]).select("doc_id", "rep").distinct()
-    rows = chosen.select(F.col("rep").alias("id"), F.explode(F.array(*table_keys("sig"))).alias("key"))
-    pairs = cut(_checked(cut(candidates(rows, block)), docs, threshold))
+    chosen = cut(signed.groupBy("low", "high").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
+    members = signed.select("doc_id", "low", "high").join(chosen.select("low", "high", F.col("id").alias("rep")), ["low", "high"]).select("doc_id", "rep").distinct()
+    rows = chosen.select("id", F.explode(F.array(*table_keys("sig"))).alias("key"))
+    close = cut(likely(candidates(rows, block), chosen))
+    pairs = cut(_checked(close, docs, threshold))
     return pairs, members
 
 
