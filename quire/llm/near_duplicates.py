@@ -144,14 +144,15 @@ def candidates(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     sizes = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n > 1 and a < b"))
     twos = sizes.filter("n = 2").select("a", "b")
     middle = sizes.filter((F.col("n") > 2) & (F.col("n") <= block)).select("key")
-    own = among(rows, middle, "key").join(middle, "key")
+    own = cut(among(rows, middle, "key").join(middle, "key"))
     pairs = own.alias("x").join(own.alias("y"), "key").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    large = sizes.filter(F.col("n") > block).select("key", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"))
+    if large.isEmpty():
+        return twos.union(pairs).distinct()
     # each row of a large bucket meets every block once: as the left side in (own, j) and as the right side in (i, own)
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    large = sizes.filter(F.col("n") > block).select("key", blocks.alias("blocks"))
     salt = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SALTS)).cast("int")
     dealt = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    placed = among(rows, large, "key").withColumn("salt", salt).join(dealt, ["key", "salt"]).select("id", "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own"))
+    placed = cut(among(rows, large, "key").withColumn("salt", salt).join(dealt, ["key", "salt"]).select("id", "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own")))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = placed.select("id", "key", "own", every.alias("other"))
     right = placed.select(F.col("id").alias("b"), "key", F.col("own").alias("other"), every.alias("own"))
