@@ -75,6 +75,43 @@ def test_linkage_of_empty_tables(spark):
     assert linkage.found(works(spark), records(spark).limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("rare", [5, 60])
+def test_no_pair_of_common_words_is_lost(spark, rare):
+    """Titles of three common words without an author, listed with one letter wrong: each pair is in the candidate graph."""
+    rng = random.Random(1)
+    first, second, third = ["harbour", "lantern", "barometer", "treatise", "meadow"], ["history", "philosophy", "elements", "orchard"], ["travellers", "merchants", "musicians", "mountains", "republics", "carpenters", "parliaments", "gardeners"]
+    made = [(a, b, c) for a in first for b in second for c in third]
+    listed = []
+    for words in made:
+        at = rng.randrange(3)
+        spot = rng.randrange(1, len(words[at]) - 1)
+        listed.append([w if k != at else w[:spot] + ("q" if w[spot] != "q" else "z") + w[spot + 1 :] for k, w in enumerate(words)])
+    left = spark.createDataFrame([(k, f"The {a} and {b} of {c}", None) for k, (a, b, c) in enumerate(made)], "id long, title string, author string")
+    right = spark.createDataFrame([(k, f"The {a} and {b} of {c}", None) for k, (a, b, c) in enumerate(listed)], "id long, title string, author string")
+    assert true_edges(left, right, rare=rare) == set(range(len(made)))
+
+
+def true_edges(left, right, **bounds):
+    kept, rows = linkage.edges(left, right, **bounds)
+    own = rows.select("side", "cls", "id").distinct()
+    met = kept.join(own.filter("side = 'w'").selectExpr("cls w", "id i"), "w").join(own.filter("side = 'r'").selectExpr("cls r", "id j"), "r")
+    return {r["i"] for r in met.filter("i = j").collect()}
+
+
+def test_over_full_titles_and_combinations_are_joined_in_blocks(spark):
+    """Thirty works of one title by different people, and thirty whose three words all stand in more than ``rare`` titles."""
+    left = [(k, "Lectures", f"A{chr(97 + k)} Person{k}") for k in range(30)] + [(100 + k, f"Moral lectures harbour x{k}", None) for k in range(30)]
+    right = [(k, "Lectures", f"B{chr(97 + k)} Person{k}") for k in range(30)] + [(100 + k, f"Moral lectures harbour y{k} y", None) for k in range(30)]
+    schema = "id long, title string, author string"
+    assert true_edges(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), rare=4, block=7) == {*range(30), *range(100, 130)}
+
+
+def test_every_author_counts():
+    words, _, persons, _ = linkage.parse("A harbour", "Ada Farfosson; Jasper Dunmosquist; Cornelia Dravena; Nils Wesgifeund")
+    other = linkage.attributes(words, [("wesgifeund", "nils")])
+    assert {a for _, a, _ in other} <= {a for _, a, _ in linkage.attributes(words, persons)}
+
+
 @pytest.mark.parametrize(("title", "volume"), [("A B, Vol. II", 2), ("A B (pt. 3)", 3), ("A B (1859)", 0), ("A B, 2nd ed.", 0), ("A B Series 4: with Remarks on x", 4)])
 def test_volumes(title, volume):
     assert linkage.parse(title, None)[1] == volume
