@@ -93,8 +93,8 @@ def test_no_pair_of_common_words_is_lost(spark, rare):
 
 def true_edges(left, right, **bounds):
     kept, rows = linkage.edges(left, right, **bounds)
-    own = rows.select("side", "cls", "id").distinct()
-    met = kept.join(own.filter("side = 'w'").selectExpr("cls w", "id i"), "w").join(own.filter("side = 'r'").selectExpr("cls r", "id j"), "r")
+    own = rows.select("work", "cls", "id").distinct()
+    met = kept.join(own.filter("work").selectExpr("cls w", "id i"), "w").join(own.filter("not work").selectExpr("cls r", "id j"), "r")
     return {r["i"] for r in met.filter("i = j").collect()}
 
 
