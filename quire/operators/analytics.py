@@ -45,6 +45,8 @@ def stats(c: Catalog) -> DataFrame:
         by("downloads", c.downloads, or_else("status", "")),
         by("extractions", c.extractions, or_else("status", "")),
         by("scans", c.downloads, or_else("scan_status", "unscanned")),
+        by("raw_archives", c.downloads, optional(c.downloads, "raw_archive_status", "local")),
+        one("corpus_specs", c.read("corpus_specs")),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -109,11 +111,16 @@ def category_breakdown(c: Catalog) -> DataFrame:
 
 
 def category_rollup(c: Catalog) -> DataFrame:
-    """Categories with invalid names folded into one, ordered by count, characters and name."""
+    """Categories with invalid names folded into one, with the description and keywords of the first that has any, dynamic
+    where any is, ordered by count, characters and name."""
     from quire.functions.text import valid_category
 
-    folded = category_breakdown(c).withColumn("category", F.when(valid_category(F.col("category")), F.col("category")).otherwise("uncategorized"))
-    return folded.groupBy("category").agg(F.sum("rows").alias("rows"), F.sum("chars").alias("chars")).orderBy(F.desc("rows"), F.desc("chars"), "category")
+    about = c.read("categories").select(F.col("name").alias("category"), "description", "keywords_json", "dynamic")
+    rows = category_breakdown(c).join(F.broadcast(about), "category", "left")  # categories do not grow
+    folded = rows.withColumn("source", F.col("category")).withColumn("category", F.when(valid_category(F.col("category")), F.col("category")).otherwise("uncategorized"))
+    first = lambda c, empty: F.min_by(c, F.when(F.coalesce(c, F.lit(empty)) != empty, F.col("source")))
+    rolled = folded.groupBy("category").agg(F.sum("rows").alias("rows"), F.sum("chars").alias("chars"), first("description", "").alias("description"), F.coalesce(first("keywords_json", "[]"), F.lit("[]")).alias("keywords_json"), F.max(F.coalesce("dynamic", F.lit(0))).alias("dynamic"))
+    return rolled.orderBy(F.desc("rows"), F.desc("chars"), "category")
 
 
 def category_counts(c: Catalog) -> DataFrame:
@@ -122,11 +129,21 @@ def category_counts(c: Catalog) -> DataFrame:
     return c.read("categories").select("name", "dynamic").join(used, F.col("name") == F.col("category"), "left").select("name", "dynamic", F.coalesce("n", F.lit(0)).alias("texts"), F.coalesce("chars", F.lit(0)).alias("chars"))
 
 
+def optional(df: DataFrame, column: str, default: str) -> Column:
+    """A column that a catalogue may lack."""
+    return or_else(column, default) if column in df.columns else F.lit(default)
+
+
 def status_hist(c: Catalog) -> DataFrame:
-    """(kind, status, n) of downloads, extractions, scans and quality over all files."""
-    kinds = (("download", "download_status", "pending"), ("extraction", "extraction_status", "pending"), ("scan", "scan_status", "unscanned"), ("quality", "quality_status", "unvalidated"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), or_else(column, default).alias("status")) for kind, column, default in kinds])).alias("p")
-    return c.chain.select(pairs).groupBy("p.kind", "p.status").agg(F.count(F.lit(1)).alias("n"))
+    """(kind, status, n): downloads, scans and raw archives by downloads, extractions and quality by extractions."""
+
+    def counted(df: DataFrame, **kinds: Column) -> DataFrame:
+        pairs = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), status.alias("status")) for kind, status in kinds.items()])).alias("p")
+        return df.select(pairs).groupBy("p.kind", "p.status").agg(F.count(F.lit(1)).alias("n"))
+
+    d, e = c.downloads, c.extractions
+    loads = counted(d, download=F.col("status"), scan=or_else("scan_status", "unscanned"), raw=optional(d, "raw_archive_status", "local"))
+    return loads.unionByName(counted(e, extraction=F.col("status"), quality=or_else("quality_status", "unvalidated")))
 
 
 def timeseries(df: DataFrame, column: str, bucket: str, total: str | None = None, limit: int = 90) -> DataFrame:
@@ -137,12 +154,21 @@ def timeseries(df: DataFrame, column: str, bucket: str, total: str | None = None
 
 
 def dimensions(c: Catalog) -> DataFrame:
-    """(dimension, value, n) of the filters that listings offer; one pass over the chain for those of a file."""
-    columns = (("site", "site", "unknown"), ("format", "format", "unknown"), ("trust", "trust_level", "trusted"), ("scan", "scan_status", "unscanned"), ("category", "category", "uncategorized"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), or_else(col, default).alias("value")) for d, col, default in columns])).alias("p")
-    chain = c.chain.select(pairs).select("p.*")
-    queries = c.works.select(F.lit("search_query").alias("dimension"), or_else("search_query", "").alias("value"))
-    return chain.unionByName(queries).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n"))
+    """(dimension, value, n) of the filters that listings offer: sites, formats and trust of files, scans and raw archives of
+    downloads, the categories with their texts (invalid names as one), the queries of works."""
+
+    def counted(df: DataFrame, **columns: Column) -> DataFrame:
+        pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), v.alias("value")) for d, v in columns.items()])).alias("p")
+        return df.select(pairs).groupBy("p.dimension", "p.value").agg(F.count(F.lit(1)).alias("n"))
+
+    from quire.functions.text import valid_category
+
+    files = counted(c.files, site=F.col("site"), format=F.col("format"), trust=F.col("trust_level"))
+    loads = counted(c.downloads, scan=or_else("scan_status", "unscanned"), raw=optional(c.downloads, "raw_archive_status", "local"))
+    named = category_counts(c).withColumn("value", F.when(valid_category(F.col("name")), F.col("name")).otherwise("uncategorized"))
+    categories = named.groupBy(F.lit("category").alias("dimension"), "value").agg(F.sum("texts").alias("n"))
+    queries = counted(c.works.filter("search_query is not null"), search_query=F.col("search_query"))
+    return files.unionByName(loads).unionByName(categories).unionByName(queries)
 
 
 def list_works(c: Catalog, limit: int = 50, offset: int = 0, query: str | None = None, site: str | None = None) -> DataFrame:

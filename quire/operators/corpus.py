@@ -4,29 +4,41 @@ from __future__ import annotations
 
 import hashlib
 import json
-import random
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.catalog import Catalog
-from quire.functions.text import corpus_normalize, digest
-from quire.predicates import or_else, usable_text
+from quire.functions.text import corpus_normalize, digest, substitute
+from quire.predicates import ascii_contains, or_else, usable_text
+from quire.session import cut
 
 
-def select(c: Catalog, category: str | None = None, site: str | None = None, limit: int | None = None) -> DataFrame:
-    """(extraction_id, title, author, category, site, text_sha256, text) of the usable texts."""
+def keys(c: Catalog, category: str | None = None, site: str | None = None, query: str | None = None, limit: int | None = None, munges: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text_uri, extraction_id, work_id, title, author, category, site, format, text_sha256) of the usable texts; with
+    ``munges`` (extraction_id, sha256) only those munged, under the hash of the munged text. ``query`` is a substring of title,
+    author, search or category. A limit is applied in the order of titles, before any other order."""
     rows = c.chain.filter(usable_text())
     if category is not None:
         rows = rows.filter(or_else("category", "uncategorized") == category)
     if site is not None:
         rows = rows.filter(F.col("site") == site)
-    works = c.works.select(F.col("id").alias("work_id"), "title", "author")
-    texts = c.documents.filter("text is not null").select("doc_id", "text_uri", "text")
-    out = rows.join(works, "work_id").join(texts, "text_uri").select("doc_id", "extraction_id", "title", "author", or_else("category", "uncategorized").alias("category"), "site", "text_sha256", "text")
+    works = c.works.select(F.col("id").alias("work_id"), "title", "author", "search_query")
+    texts = c.documents.filter("text is not null").select("doc_id", "text_uri")
+    out = rows.join(works, "work_id").join(texts, "text_uri")
+    if query is not None:
+        out = out.filter(F.exists(F.array("title", "author", "search_query", "category"), lambda x: ascii_contains(x, query)))
+    if munges is not None:
+        out = out.drop("text_sha256").join(munges.select("extraction_id", F.col("sha256").alias("text_sha256")), "extraction_id")
+    out = out.select("doc_id", "text_uri", "extraction_id", "work_id", "title", "author", or_else("category", "uncategorized").alias("category"), "site", "format", "text_sha256")
     return out.orderBy(F.lower("title"), "text_sha256", "extraction_id").limit(limit) if limit is not None else out
 
 
+def select(c: Catalog, **kwargs) -> DataFrame:
+    """``keys`` with their texts."""
+    return keys(c, **kwargs).join(c.documents.select("doc_id", "text"), "doc_id")
+
+
 def order_columns(strategy: str, seed: int = 0) -> list:
     """A total order for each strategy."""
     last = [F.col("text_sha256"), F.col("extraction_id"), F.col("doc_id")]
@@ -43,13 +55,9 @@ def order_columns(strategy: str, seed: int = 0) -> list:
 
 def numbered(rows: DataFrame, order: list) -> DataFrame:
     """``rows`` with item_index from 1 in a total order, without bringing all rows to one task: rows are range-partitioned, the
-    partitions' counts (one number each) shift the numbers within them."""
-    columns = [F.struct(*order).alias("_order")]
-    laid = rows.withColumn("_order", columns[0]).repartitionByRange("_order").sortWithinPartitions("_order").withColumn("_part", F.spark_partition_id())
-    # the ranges come from a sample, so both uses must see one laying-out: it is checkpointed
-    from quire.session import cut
-
-    laid = cut(laid)
+    partitions' counts (one number each) shift the numbers within them. Number keys, not texts: the rows are shuffled and
+    checkpointed, as the ranges come from a sample and both uses must see one laying-out."""
+    laid = cut(rows.withColumn("_order", F.struct(*order)).repartitionByRange("_order").sortWithinPartitions("_order").withColumn("_part", F.spark_partition_id()))
     within = F.row_number().over(Window.partitionBy("_part").orderBy("_order"))
     counts = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -58,22 +66,20 @@ def numbered(rows: DataFrame, order: list) -> DataFrame:
 
 
 def ordered(c: Catalog, strategy: str, seed: int = 0, **kwargs) -> DataFrame:
-    rows = numbered(select(c, **kwargs), order_columns(strategy, seed))
-    return rows.select("item_index", "extraction_id", "doc_id")
+    return numbered(keys(c, **kwargs), order_columns(strategy, seed)).select("item_index", "extraction_id", "doc_id")
 
 
-def substitute(column, pairs: list[tuple[str, str]]):
-    """Literal replacements, one after the other."""
-    for old, new in pairs:
-        column = F.replace(column, F.lit(old), F.lit(new))
-    return column
+def numbered_texts(c: Catalog, order: str = "title", seed: int = 0, **kwargs) -> DataFrame:
+    """The keys with item_index, and their texts joined once the keys are numbered: no text is shuffled to be sorted."""
+    return numbered(keys(c, **kwargs), order_columns(order, seed)).join(c.documents.select("doc_id", "text"), "doc_id")
 
 
-def items(c: Catalog, pairs: list[tuple[str, str]] = (), **kwargs) -> DataFrame:
-    """(item_index, extraction_id, doc_id, sha256, chars): normalised and substituted texts in title order."""
-    rows = numbered(select(c, **kwargs), order_columns("title"))
+def items(c: Catalog, pairs: list[tuple[str, str]] = (), order: str = "title", seed: int = 0, **kwargs) -> DataFrame:
+    """(item_index, extraction_id, doc_id, sha256, chars, ...): normalised and substituted texts by their hash, in order."""
+    rows = numbered_texts(c, order, seed, **kwargs)
     text = substitute(corpus_normalize(F.col("text")), list(pairs))
-    return rows.select("item_index", "extraction_id", "doc_id", digest(text).alias("sha256"), F.length(text).cast("long").alias("chars"))
+    about = ("item_index", "extraction_id", "doc_id", "work_id", "title", "author", "site", "format", "category", "text_uri", "text_sha256")
+    return rows.select(*about, digest(text).alias("sha256"), F.length(text).cast("long").alias("chars"))
 
 
 def integrity(c: Catalog) -> DataFrame:
@@ -88,36 +94,59 @@ def totals(c: Catalog, pairs: list[tuple[str, str]] = ()) -> DataFrame:
     return select(c).groupBy("category").agg(F.count(F.lit(1)).alias("items"), F.sum(F.length(text).cast("long")).alias("chars"))
 
 
-def combined(c: Catalog, **kwargs) -> DataFrame:
-    """(item_index, block): each text between its begin and end lines, to be written in the order of item_index."""
-    rows = numbered(select(c, **kwargs), order_columns("title"))
-    head = F.concat(F.lit("----- BEGIN "), F.col("item_index").cast("string"), F.lit(" -----\nTitle: "), F.coalesce("title", F.lit("")), F.lit("\nAuthor: "), F.coalesce("author", F.lit("")), F.lit("\nCategory: "), F.col("category"), F.lit("\nSHA-256: "), F.coalesce("text_sha256", F.lit("")), F.lit("\n\n"))
-    tail = F.concat(F.lit("\n----- END "), F.col("item_index").cast("string"), F.lit(" -----\n"))
-    return rows.select("item_index", F.concat(head, corpus_normalize(F.col("text")), tail).alias("block"))
+def combined(c: Catalog, pairs: list[tuple[str, str]] = (), **kwargs) -> DataFrame:
+    """(item_index, block): each text between its begin and end lines under a header of four lines, to be written in the order of item_index."""
+    rows = numbered_texts(c, **kwargs).withColumn("text", substitute(corpus_normalize(F.col("text")), list(pairs)))
+    n = F.col("item_index").cast("string")
+    head = [F.concat(F.lit("--- BEGIN DOCUMENT "), n, F.lit(" ---")), *[F.concat(F.lit(f"{k}: "), F.coalesce(v, F.lit(""))) for k, v in (("title", F.col("title")), ("author", F.col("author")), ("source_text_sha256", F.col("text_sha256")), ("transformed_sha256", digest(F.col("text"))))]]
+    return rows.select("item_index", F.concat_ws("\n", *head, F.col("text"), F.concat(F.lit("--- END DOCUMENT "), n, F.lit(" ---"))).alias("block"))
 
 
 def canonical_json(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-def manifest(c: Catalog, name: str, selection: dict | None = None, pairs: list[tuple[str, str]] = ()) -> DataFrame:
-    """(name, items, chars, sha256): the identity of a build. The items' hashes are folded in item order by parts, so that no
-    list of all items reaches the driver: each range of items gives one digest, and the manifest hashes the digests."""
-    rows = items(c, pairs, **(selection or {}))
-    part = F.floor((F.col("item_index") - 1) / 10000)
-    line = F.concat_ws(" ", F.col("item_index").cast("string"), F.col("extraction_id").cast("string"), "sha256", F.col("chars").cast("string"))
-    parts = rows.groupBy(part.alias("part")).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("item_index", line.alias("line")))), lambda x: x["line"]), "\n"), 256).alias("digest"), F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
-    head = canonical_json({"name": name, "selection": selection or {}, "substitutions": [list(p) for p in pairs], "ordering": "title"})
-    folded = parts.agg(F.sum("n").alias("items"), F.sum("chars").alias("chars"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "digest"))), lambda x: x["digest"]), "\n").alias("digests"))
-    return folded.select(F.lit(name).alias("name"), "items", "chars", F.sha2(F.concat(F.lit(head), F.lit("\n"), "digests"), 256).alias("sha256"))
+def json_text(value: Column) -> Column:
+    """A string as canonical JSON writes it: only quotes, backslashes and control characters are escaped; null is null."""
+    inner = F.regexp_replace(F.to_json(F.struct(value.alias("x")), {"ignoreNullFields": "false"}), r"^\{\"x\":|\}$", "")
+    return F.coalesce(inner, F.lit("null"))
+
 
+#: The name of the normaliser (a fixed value).
+NORMALIZER = "corpus-normalize.v1"
 
-def shuffled_keys(keys: list[str], seed: int) -> list[str]:
-    """The seeded shuffle of a small list of keys, on the driver; ``seeded`` order is its scalable counterpart."""
-    keys = sorted(keys)
-    random.Random(seed).shuffle(keys)
-    return keys
 
+def manifest_items(rows: DataFrame) -> DataFrame:
+    """(item_index, json): each item of ``items`` as canonical JSON."""
+    fields = {"author": json_text(F.col("author")), "category": json_text(F.col("category")), "char_count": F.col("chars").cast("string"), "extraction_id": F.col("extraction_id").cast("string"), "format": json_text(F.col("format")), "item_index": F.col("item_index").cast("string"), "site": json_text(F.col("site")), "text_sha256": json_text(F.col("text_sha256")), "text_uri": json_text(F.col("text_uri")), "title": json_text(F.col("title")), "transformed_sha256": json_text(F.col("sha256")), "work_id": F.col("work_id").cast("string")}
+    body = F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), F.coalesce(v, F.lit("null"))) for k, v in fields.items()])
+    return rows.select("item_index", F.concat(F.lit("{"), body, F.lit("}")).alias("json"))
 
-def manifest_digest(value: dict) -> str:
-    return hashlib.sha256(canonical_json(value).encode()).hexdigest()
+
+def manifest_hash(c: Catalog, name: str, selection: dict | None = None, pairs: list[tuple[str, str]] = (), order: str = "title", seed: int = 0, form: str = "corpus.v1") -> str:
+    """The hash of the whole canonical manifest. It is one hash over one text by definition: the items' JSON streams through the
+    driver in order, a partition at a time, and is never held together."""
+    rows = cut(items(c, pairs, order, seed, **(selection or {})))
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
+    changes = [{"from": a, "to": b} for a, b in pairs]
+    chosen = {k: None for k in ("category", "site", "query", "limit")} | {"use_munged": False} | (selection or {})
+    whole = {"format": form, "name": name, "selection": chosen, "ordering_strategy": order, "seed": seed, "normalizer_version": NORMALIZER, "substitutions_sha256": hashlib.sha256(canonical_json(changes).encode()).hexdigest(), "substitutions": changes, "item_count": total["n"], "total_chars": total["chars"], "items": "\x00"}
+    before, after = canonical_json(whole).split('"\\u0000"')
+    running = hashlib.sha256((before + "[").encode())
+    comma = ""
+    for row in manifest_items(rows).orderBy("item_index").toLocalIterator():
+        running.update((comma + row["json"]).encode())
+        comma = ","
+    running.update(("]" + after).encode())
+    return running.hexdigest()
+
+
+def manifest(c: Catalog, name: str, selection: dict | None = None, pairs: list[tuple[str, str]] = ()) -> DataFrame:
+    """(name, items, chars, sha256): the identity of a build where the items are too many for one hash: the digests of their lines, by
+    item, are added up modulo 2 ** 64 in four parts, so the order counts through item_index and no list is gathered."""
+    rows = items(c, pairs, **(selection or {}))
+    line = F.sha2(F.concat_ws(" ", F.col("item_index").cast("string"), F.col("extraction_id").cast("string"), "sha256", F.col("chars").cast("string")), 256)
+    parts = [F.sum(F.conv(F.substring(line, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")).alias(f"p{k}") for k in range(4)]
+    head = canonical_json({"name": name, "selection": selection or {}, "substitutions": [list(p) for p in pairs], "ordering": "title"})
+    folded = rows.agg(F.count(F.lit(1)).alias("items"), F.sum("chars").alias("chars"), *parts)
+    return folded.select(F.lit(name).alias("name"), "items", "chars", F.sha2(F.concat_ws(" ", F.lit(head), *[F.col(f"p{k}").cast("string") for k in range(4)]), 256).alias("sha256"))

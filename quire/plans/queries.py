@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from quire.catalog import Catalog, latest
 from quire.functions import text as T
 from quire.functions import urls as U
-from quire.functions.clean import cleaned
 from quire.operators import analytics, corpus, merge, queues, search, titles
 from quire.predicates import effective_url, format_rank, size_bytes
-from quire.sources.readers import mode_of
 from quire.streaming import feeds
 
 #: Names that several queries start from. ``dl`` is the newest download of each file, ``ch`` the left-joined chain.
-CTE = """
+EFF = "coalesce(nullif(download_url, ''), url, '')"
+HOST = f"lower(regexp_extract({EFF}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1))"
+PATH = f"regexp_extract({EFF}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+SCHEME = f"lower(regexp_extract({EFF}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"
+TORRENT = f"(contains(lower(coalesce(format, '')), 'torrent') OR ends_with(lower({PATH}), '.torrent') OR contains(lower(coalesce(download_source, '')), 'torrent'))"
+RUNS = f"(({SCHEME} IN ('http', 'https') AND {HOST} <> '' AND NOT ends_with({HOST}, '.onion') AND NOT {TORRENT}) OR ({SCHEME} = 'file' AND {PATH} <> ''))"
+CTE = f"""
 WITH dl AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY updated_at DESC NULLS LAST, id DESC) rn FROM downloads) WHERE rn = 1),
 ch AS (SELECT f.id file_id, f.work_id, f.site, f.format, f.url, f.file_size, f.download_url, f.trust_level, f.download_disabled_at, d.id download_id, d.status download_status,
   d.bytes, d.attempts, d.error, d.scan_status, e.id extraction_id, e.extractor, e.status extraction_status, e.text_uri, e.text_sha256, e.char_count, e.category, e.quality_status, e.processed_at
@@ -26,11 +30,14 @@ blocked AS (SELECT DISTINCT work_id FROM ch WHERE download_status IN ('pending',
   OR (extraction_status = 'processed' AND coalesce(quality_status, 'usable') <> 'unusable')))),
 untried AS (SELECT f.id file_id, f.* EXCLUDE (id) FROM files f WHERE coalesce(f.download_url, f.url, '') <> '' AND f.id NOT IN (SELECT file_id FROM dl WHERE file_id IS NOT NULL)),
 pending AS (SELECT u.*, coalesce(nullif(u.download_url, ''), u.url) eff FROM untried u WHERE u.work_id NOT IN (SELECT work_id FROM blocked WHERE work_id IS NOT NULL)),
-runnable AS (SELECT * FROM pending WHERE coalesce(regexp_matches(eff, '^https?://[^/]+'), false) AND NOT (contains(lower(coalesce(format, '')), 'torrent') OR ends_with(lower(coalesce(eff, '')), '.torrent')))
+runnable AS (SELECT * FROM pending WHERE {RUNS}),
+act AS (SELECT DISTINCT ON (download_id) ch.*, d.updated_at AS d_updated FROM ch JOIN dl d ON d.id = ch.download_id WHERE download_status = 'failed' AND download_disabled_at IS NULL AND coalesce(download_url, url, '') <> ''
+  AND ch.work_id NOT IN (SELECT work_id FROM blocked WHERE work_id IS NOT NULL) AND ch.work_id NOT IN (SELECT work_id FROM untried WHERE download_disabled_at IS NULL AND work_id IS NOT NULL))
 """
 USABLE = "coalesce(extraction_status = 'processed' AND text_uri IS NOT NULL AND coalesce(quality_status, 'usable') <> 'unusable', false)"
 RANK = "CASE " + " ".join(f"WHEN contains(lower(coalesce(format, '')), '{n}') THEN {v}" for n, v in (("text", 0), ("txt", 0), ("muse", 0), ("htm", 1), ("epub", 2), ("fb2", 3), ("rtf", 3), ("docx", 4), ("doc", 5), ("pdf", 6), ("mobi", 7), ("kindle", 7), ("azw", 8), ("daisy", 9), ("djvu", 10), ("torrent", 99))) + " ELSE 50 END"
 SIZE = "coalesce(try_cast(regexp_extract(lower(coalesce(file_size, '')), '([0-9.]+)\\s*(b|kb|mb|gb)?', 1) AS DOUBLE) * CASE regexp_extract(lower(coalesce(file_size, '')), '([0-9.]+)\\s*(b|kb|mb|gb)?', 2) WHEN 'gb' THEN 1073741824.0 WHEN 'mb' THEN 1048576.0 WHEN 'kb' THEN 1024.0 ELSE 1.0 END, 1e12)"
+BEST = f"row_number() OVER (PARTITION BY work_id ORDER BY {RANK}, {SIZE}, {EFF}, file_id::VARCHAR) rn"
 BLANK = "[ \\t\\r\\n\\f]+"
 TRIM = "regexp_replace({}, '^[ \\t\\r\\n\\f]+|[ \\t\\r\\n\\f]+$', '', 'g')"
 NORMAL = TRIM.format("regexp_replace(regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")
@@ -93,9 +100,6 @@ def _fold(c: Catalog) -> DataFrame:
 
 
 ENTRIES: dict[str, Entry] = {
-    "stats": (analytics.stats, CTE + """SELECT 'works' AS metric, '' AS key, count(*) AS value FROM works UNION ALL SELECT 'files', '', count(*) FROM files
-      UNION ALL SELECT 'files_by_site', coalesce(site, ''), count(*) FROM files GROUP BY 2 UNION ALL SELECT 'downloads', coalesce(status, ''), count(*) FROM dl GROUP BY 2
-      UNION ALL SELECT 'extractions', coalesce(status, ''), count(*) FROM extractions GROUP BY 2 UNION ALL SELECT 'scans', coalesce(scan_status, 'unscanned'), count(*) FROM dl GROUP BY 2"""),
     "summary": (analytics.summary, CTE + f"""SELECT count(DISTINCT work_id) AS works, count(DISTINCT file_id) AS files, sum(bytes)::BIGINT AS bytes, sum(CASE WHEN extraction_status = 'processed' THEN char_count END)::BIGINT AS chars,
       count(DISTINCT CASE WHEN download_status = 'downloaded' THEN file_id END) AS downloaded, count(DISTINCT CASE WHEN download_status = 'failed' THEN file_id END) AS failed, count(DISTINCT CASE WHEN download_id IS NULL THEN file_id END) AS untried,
       count(DISTINCT CASE WHEN extraction_status = 'processed' THEN extraction_id END) AS processed, count(DISTINCT CASE WHEN extraction_status = 'failed' THEN extraction_id END) AS extraction_failed,
@@ -107,17 +111,10 @@ ENTRIES: dict[str, Entry] = {
     "format_breakdown": (analytics.format_breakdown, CTE + f"SELECT coalesce(format, 'unknown') AS format, count(file_id) AS files, count(*) FILTER (download_status = 'downloaded') AS downloaded, count(*) FILTER (download_status = 'failed') AS failed, count(*) FILTER (extraction_status = 'processed') AS processed, count(*) FILTER ({USABLE}) AS usable FROM ch GROUP BY 1"),
     "trust_breakdown": (analytics.trust_breakdown, CTE + f"SELECT coalesce(trust_level, 'trusted') AS trust_level, count(*) AS rows, count(*) FILTER (download_status = 'downloaded') AS downloaded, count(*) FILTER (download_status = 'failed') AS failed, count(*) FILTER (scan_status = 'infected') AS infected, count(*) FILTER (extraction_status = 'processed') AS processed, count(*) FILTER ({USABLE}) AS usable FROM ch GROUP BY 1"),
     "category_breakdown": (analytics.category_breakdown, CTE + "SELECT coalesce(category, 'unprocessed') AS category, count(*) AS rows, coalesce(sum(char_count), 0)::BIGINT AS chars, coalesce(category, 'unprocessed') IN (SELECT name FROM categories) AS known FROM ch WHERE download_status = 'downloaded' GROUP BY 1"),
-    "category_rollup": (analytics.category_rollup, CTE + f""", named AS (SELECT coalesce(category, 'unprocessed') category, char_count, coalesce(nullif(trim(regexp_replace(lower(coalesce(category, 'unprocessed')), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'uncategorized') low FROM ch WHERE download_status = 'downloaded')
-      SELECT CASE WHEN low IN ({", ".join(f"'{n}'" for n in T.STATIC)}) OR (length(low) BETWEEN 4 AND 48 AND regexp_matches(low, '^[a-z]+(_[a-z]+){{0,2}}$') AND len(list_filter(string_split(low, '_'), lambda p: length(p) < 4 OR p IN ({", ".join(f"'{n}'" for n in T.NOT_WORDS)}))) = 0
-      AND len(list_filter(string_split(low, '_'), lambda p: regexp_matches(p, '[aeiouy]'))) > 0) THEN category ELSE 'uncategorized' END AS category, count(*) AS rows, coalesce(sum(char_count), 0)::BIGINT AS chars FROM named GROUP BY 1"""),
     "category_counts": (analytics.category_counts, "SELECT c.name, c.dynamic, count(e.id) AS texts, coalesce(sum(e.char_count), 0)::BIGINT AS chars FROM categories c LEFT JOIN extractions e ON e.category = c.name GROUP BY 1, 2"),
-    "status_hist": (analytics.status_hist, CTE + """SELECT 'download' AS kind, coalesce(download_status, 'pending') AS status, count(*) AS n FROM ch GROUP BY 2 UNION ALL SELECT 'extraction', coalesce(extraction_status, 'pending'), count(*) FROM ch GROUP BY 2
-      UNION ALL SELECT 'scan', coalesce(scan_status, 'unscanned'), count(*) FROM ch GROUP BY 2 UNION ALL SELECT 'quality', coalesce(quality_status, 'unvalidated'), count(*) FROM ch GROUP BY 2"""),
     "timeseries_works": (lambda c: analytics.timeseries(c.works, "created_at", "day"), Q_TIME.format(c="created_at", p="%Y-%m-%d", t="", f="works")),
     "timeseries_downloads": (lambda c: analytics.timeseries(c.downloads.filter("status = 'downloaded'"), "downloaded_at", "hour", "bytes"), CTE + Q_TIME.format(c="downloaded_at", p="%Y-%m-%d %H:00", t=", coalesce(sum(bytes), 0)::BIGINT AS total", f="(SELECT * FROM dl WHERE status = 'downloaded')")),
     "timeseries_extractions": (lambda c: analytics.timeseries(c.extractions, "processed_at", "day", "char_count"), Q_TIME.format(c="processed_at", p="%Y-%m-%d", t=", coalesce(sum(char_count), 0)::BIGINT AS total", f="extractions")),
-    "dimensions": (analytics.dimensions, CTE + """SELECT 'site' AS dimension, coalesce(site, 'unknown') AS value, count(*) AS n FROM ch GROUP BY 2 UNION ALL SELECT 'format', coalesce(format, 'unknown'), count(*) FROM ch GROUP BY 2 UNION ALL SELECT 'trust', coalesce(trust_level, 'trusted'), count(*) FROM ch GROUP BY 2
-      UNION ALL SELECT 'scan', coalesce(scan_status, 'unscanned'), count(*) FROM ch GROUP BY 2 UNION ALL SELECT 'category', coalesce(category, 'uncategorized'), count(*) FROM ch GROUP BY 2 UNION ALL SELECT 'search_query', coalesce(search_query, ''), count(*) FROM works GROUP BY 2"""),
     "list_works": (analytics.list_works, _list_sql()),
     "list_works_page": (lambda c: analytics.list_works(c, offset=50), _list_sql(extra="OFFSET 50")),
     "list_works_q": (lambda c: analytics.list_works(c, query="History"), _list_sql("WHERE contains(translate(title, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'history') OR contains(translate(author, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'history') OR contains(translate(search_query, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'history')")),
@@ -128,23 +125,11 @@ ENTRIES: dict[str, Entry] = {
     "works_with_files": (analytics.works_with_files, "SELECT w.id AS work_id, w.title, count(f.id) AS files, coalesce(array_to_string(list_sort(list(DISTINCT f.format) FILTER (f.format IS NOT NULL)), ','), '') AS formats FROM works w LEFT JOIN files f ON f.work_id = w.id GROUP BY 1, 2"),
     "recent_activity": (analytics.recent_activity, CTE + ", al AS (SELECT 'work' AS kind, id, created_at AS t FROM works UNION ALL SELECT 'download', id, updated_at FROM dl UNION ALL SELECT 'extraction', id, processed_at FROM extractions) SELECT kind, id, strftime(t, '%Y-%m-%d %H:%M:%S') AS \"at\" FROM (SELECT * FROM al WHERE t IS NOT NULL ORDER BY t DESC, kind, id DESC LIMIT 25)"),
     "usable_texts": (lambda c: c.chain.filter(analytics.usable_text()).select("extraction_id", "file_id", "char_count"), CTE + f"SELECT extraction_id, file_id, char_count FROM ch WHERE {USABLE}"),
-    "pending_downloads": (queues.pending_downloads, CTE + f"SELECT work_id, file_id, site, format FROM (SELECT *, row_number() OVER (PARTITION BY work_id ORDER BY {RANK}, {SIZE}, file_id::VARCHAR) rn FROM runnable) WHERE rn = 1"),
-    "best_file_per_work": (queues.best_file_per_work, f"SELECT work_id, file_id, rank, size FROM (SELECT work_id, id file_id, {RANK} AS rank, {SIZE} AS size, row_number() OVER (PARTITION BY work_id ORDER BY {RANK}, {SIZE}, id::VARCHAR) rn FROM files) WHERE rn = 1"),
     "format_rank": (lambda c: c.files.select("id", format_rank(F.col("format")).alias("rank")), f"SELECT id, {RANK} AS rank FROM files"),
     "size_rank": (lambda c: c.files.select("id", size_bytes(F.col("file_size")).alias("size")), f"SELECT id, {SIZE} AS size FROM files"),
     "runnable_candidates": (lambda c: queues.runnable(queues.pending_files(c)).select("file_id", "work_id"), CTE + "SELECT file_id, work_id FROM runnable"),
-    "active_failed": (queues.active_failed, CTE + "SELECT DISTINCT file_id, work_id, site, coalesce(error, '') AS error, attempts FROM ch WHERE download_status = 'failed' AND download_disabled_at IS NULL AND coalesce(download_url, url, '') <> '' AND work_id NOT IN (SELECT work_id FROM blocked WHERE work_id IS NOT NULL) AND work_id NOT IN (SELECT work_id FROM untried WHERE download_disabled_at IS NULL AND work_id IS NOT NULL)"),
     "pending_extractions": (queues.pending_extractions, CTE + "SELECT id AS download_id, file_id, bytes FROM dl WHERE status = 'downloaded' AND NOT EXISTS (SELECT 1 FROM extractions e WHERE e.download_id = dl.id AND e.extractor = 'plaintext.v2')"),
-    "quality_candidates": (queues.quality_candidates, "SELECT id, download_id, char_count FROM extractions WHERE status = 'processed' AND text_uri IS NOT NULL AND (quality_status IS NULL OR quality_status = 'error')"),
     "unusable_texts": (queues.unusable_texts, "SELECT id, download_id, char_count FROM extractions WHERE status = 'processed' AND quality_status = 'unusable'"),
-    "backlog_counts": (queues.backlog_counts, CTE + """SELECT 'pending_downloads' AS queue, count(DISTINCT work_id) AS n FROM runnable WHERE download_disabled_at IS NULL
-      UNION ALL SELECT 'failed_downloads', count(*) FROM (SELECT DISTINCT file_id, work_id, site, coalesce(error, ''), attempts FROM ch WHERE download_status = 'failed' AND download_disabled_at IS NULL AND coalesce(download_url, url, '') <> '' AND work_id NOT IN (SELECT work_id FROM blocked WHERE work_id IS NOT NULL) AND work_id NOT IN (SELECT work_id FROM untried WHERE download_disabled_at IS NULL AND work_id IS NOT NULL))
-      UNION ALL SELECT 'pending_extractions', count(*) FROM dl WHERE status = 'downloaded' AND NOT EXISTS (SELECT 1 FROM extractions e WHERE e.download_id = dl.id AND e.extractor = 'plaintext.v2')
-      UNION ALL SELECT 'unvalidated_texts', count(*) FROM extractions WHERE status = 'processed' AND text_uri IS NOT NULL AND (quality_status IS NULL OR quality_status = 'error')"""),
-    "pipeline_failures": (queues.pipeline_failures, CTE + """SELECT * FROM (SELECT 1 AS priority, 'download' AS stage, id FROM dl WHERE status = 'failed' ORDER BY updated_at DESC NULLS LAST, id DESC LIMIT 40) UNION ALL SELECT * FROM (SELECT 2, 'extraction', id FROM extractions WHERE status = 'failed' ORDER BY created_at DESC NULLS LAST, id DESC LIMIT 40)
-      UNION ALL SELECT * FROM (SELECT 3, 'quality', id FROM extractions WHERE quality_status = 'unusable' ORDER BY processed_at DESC NULLS LAST, id DESC LIMIT 40)"""),
-    "domain_assignment": (queues.domain_assignment, CTE + f""", best AS (SELECT file_id, lower(regexp_extract(eff, '^https?://([^/:?#]+)', 1)) AS domain FROM (SELECT *, row_number() OVER (PARTITION BY work_id ORDER BY {RANK}, {SIZE}, file_id::VARCHAR) rn FROM runnable) WHERE rn = 1),
-      cut AS (SELECT DISTINCT domain FROM best ORDER BY domain LIMIT 4) SELECT domain, slot::INT AS slot, file_id FROM (SELECT domain, file_id, row_number() OVER (PARTITION BY domain ORDER BY file_id) slot FROM best WHERE domain IN (SELECT domain FROM cut)) WHERE slot <= 3"""),
     "work_activity": (queues.work_activity, CTE + "SELECT id AS work_id, id IN (SELECT work_id FROM blocked WHERE work_id IS NOT NULL) AS active FROM works"),
     "text_preview": (lambda c: _texts(c).select("doc_id", F.substring("text", 1, 200).alias("preview"), (F.length("text") > 200).alias("truncated")), "SELECT doc_id, substring(text, 1, 200) AS preview, length(text) > 200 AS truncated FROM documents WHERE text IS NOT NULL"),
     "normalize_text": (_scalar("out", lambda t: T.digest(T.normalize(t))), _text_sql("out", f"sha256({NORMAL})")),
@@ -158,16 +143,10 @@ ENTRIES: dict[str, Entry] = {
     "running_lines": (lambda c: T.running_lines(_texts(c)), """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) line_no FROM documents WHERE text IS NOT NULL),
       k AS (SELECT doc_id, line_no, regexp_replace(regexp_replace(line, '\\r$', ''), '^[ \\t]+|[ \\t]+$', '', 'g') bare FROM l), m AS (SELECT *, regexp_replace(lower(bare), '[0-9]+', '#', 'g') AS key FROM k),
       n AS (SELECT *, count(*) OVER (PARTITION BY doc_id, key) AS cnt FROM m) SELECT doc_id, line_no::INT AS line_no FROM n WHERE regexp_matches(bare, '^[-–— ]*[0-9]+[-–— ]*$') OR (cnt >= 3 AND length(key) BETWEEN 1 AND 90)"""),
-    "suspicious_lines": (lambda c: T.suspicious_lines(_texts(c)), """WITH l AS (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '\\r$', '') line, generate_subscripts(string_split(text, chr(10)), 1) line_no FROM documents WHERE text IS NOT NULL)
-      SELECT doc_id, line_no::INT AS line_no FROM l WHERE trim(line, ' ') <> '' AND (contains(line, chr(65533)) OR length(line) - length(regexp_replace(line, '[^A-Za-z0-9\\s.,;:''"!?()\\[\\]{}-]', '', 'g')) >= 3 OR regexp_matches(line, '[A-Za-z]{2,}\\|[A-Za-z]{2,}'))"""),
     "quality_heuristic": (lambda c: _docs(c).select("doc_id", T.quality_heuristic(F.col("text")).alias("q")).select("doc_id", "q.status", "q.score"), f"""WITH t AS (SELECT doc_id, coalesce(text, '') text FROM documents), m AS (SELECT doc_id, text, {TRIM.format('text')} bare, length(text) - length(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f-\\x{{9f}}]', '', 'g')) c,
-      length(text) - length(replace(text, chr(65533), '')) r, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]{{3,}}')) w, greatest(length(text), 1) n FROM t), v AS (SELECT doc_id, CASE WHEN bare = '' THEN 0.0 WHEN contains(substring(text, 1, 200), chr(0)) THEN 0.02 WHEN c / n > 0.03 THEN 0.05 WHEN r / n > 0.02 THEN 0.1 WHEN length(bare) < 120 OR w < 12 THEN 0.45 ELSE 0.75 END::DOUBLE AS score FROM m)
+      length(text) - length(replace(text, chr(65533), '')) r, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]{{3,}}')) w, greatest(length(text), 1) n FROM t), v AS (SELECT doc_id, CASE WHEN bare = '' THEN 0.0 WHEN contains(substring(text, 1, 200), chr(0)) OR starts_with(text, chr(31) || chr(65533)) OR starts_with(text, chr(31) || chr(139)) OR starts_with(text, chr(139)) THEN 0.02 WHEN c / n > 0.03 THEN 0.05 WHEN r / n > 0.02 THEN 0.1 WHEN length(bare) < 120 OR w < 12 THEN 0.45 ELSE 0.75 END::DOUBLE AS score FROM m)
       SELECT doc_id, CASE WHEN score < 0.2 THEN 'unusable' WHEN score < 0.5 THEN 'suspect' ELSE 'usable' END AS status, score FROM v"""),
     "useful_text_gate": (lambda c: _docs(c).select("doc_id", T.useful(F.col("text")).alias("useful")), "SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]', '', 'g')) >= 200 AS useful FROM documents"),
-    "token_counts": (lambda c: T.token_counts(_texts(c)), f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) token FROM documents WHERE text IS NOT NULL), p AS (SELECT doc_id, token, count(*) n FROM t WHERE token NOT IN ({", ".join(f"'{w}'" for w in (*T.COMMON, *T.NOT_WORDS))}) GROUP BY 1, 2)
-      SELECT token, count(*) AS documents, sum(n)::BIGINT AS total FROM p GROUP BY 1"""),
-    "categorize": (lambda c: T.categorize(_docs(c), c.read("categories")), """WITH k AS (SELECT coalesce(dynamic, 0) dynamic, name, CASE WHEN len(from_json(keywords_json, '["VARCHAR"]')) > 0 THEN from_json(keywords_json, '["VARCHAR"]') ELSE [replace(name, '_', ' ')] END ks FROM categories), o AS (SELECT dynamic, name, unnest(ks) kw FROM k),
-      h AS (SELECT d.doc_id, o.name, row_number() OVER (PARTITION BY d.doc_id ORDER BY o.dynamic, o.name) rn FROM documents d JOIN o ON contains(lower(coalesce(d.text, '')), lower(o.kw))) SELECT d.doc_id, coalesce(h.name, 'uncategorized') AS category FROM documents d LEFT JOIN (SELECT * FROM h WHERE rn = 1) h ON h.doc_id = d.doc_id"""),
     "category_slug": (lambda c: c.extractions.select("id", T.slug(F.col("category")).alias("slug")), "SELECT id, coalesce(nullif(trim(regexp_replace(lower(coalesce(category, '')), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'uncategorized') AS slug FROM extractions"),
     "storage_key": (lambda c: c.files.select("id", F.concat_ws("/", T.safe_segment(F.col("site")), F.col("work_id").cast("string"), F.col("id").cast("string"), F.substring(T.digest(F.coalesce("url", F.lit(""))), 1, 16)).alias("key")),
       "SELECT id, concat_ws('/', coalesce(nullif(substring(regexp_replace(regexp_replace(lower(coalesce(site, '')), '[^a-z0-9._-]+', '-', 'g'), '^[.-]+|[.-]+$', '', 'g'), 1, 96), ''), 'unknown'), work_id::VARCHAR, id::VARCHAR, substring(sha256(coalesce(url, '')), 1, 16)) AS key FROM files"),
@@ -175,19 +154,10 @@ ENTRIES: dict[str, Entry] = {
     "url_parts": (lambda c: c.files.select("id", *[U.part(effective_url(), n).alias(n) for n in ("scheme", "host", "path", "query")]), """WITH u AS (SELECT id, coalesce(nullif(download_url, ''), url, '') u FROM files) SELECT id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme, lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host,
       regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*\\?([^#]*)', 1) AS query FROM u"""),
     "url_format": (lambda c: c.files.select("id", U.link_format(effective_url()).alias("format")), "WITH u AS (SELECT id, lower(regexp_extract(coalesce(nullif(download_url, ''), url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) p FROM files) SELECT id, CASE " + " ".join(f"WHEN ends_with(p, '{s}') THEN '{n}'" for s, n in U.SUFFIXES) + " END AS format FROM u"),
-    "url_extension": (lambda c: c.files.withColumnRenamed("id", "file_id").join(c.downloads.select("file_id", "content_type"), "file_id").select("file_id", U.extension(effective_url(), F.col("content_type")).alias("ext")), CTE + """, u AS (SELECT f.id file_id, regexp_extract(lower(regexp_extract(coalesce(nullif(f.download_url, ''), f.url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '\\.([a-z0-9]{1,8})$') s, dl.content_type t FROM files f JOIN dl ON dl.file_id = f.id)
-      SELECT file_id, CASE WHEN s <> '' THEN s WHEN contains(t, 'html') THEN '.html' WHEN contains(t, 'pdf') THEN '.pdf' WHEN contains(t, 'epub') THEN '.epub' WHEN starts_with(t, 'text/') THEN '.txt' ELSE '.bin' END AS ext FROM u"""),
-    "extract_dispatch": (lambda c: c.files.select("id", mode_of(F.coalesce("download_url", F.lit("")), F.col("format")).alias("mode")), """WITH u AS (SELECT id, lower(concat_ws(' ', coalesce(download_url, ''), coalesce(format, ''))) h FROM files) SELECT id, CASE WHEN regexp_matches(h, 'encrypted|drm') THEN 'skip:encrypted' WHEN contains(h, 'torrent') THEN 'skip:torrent' WHEN regexp_matches(h, '\\.gz\\b|gzip') THEN 'gzip'
-      WHEN regexp_matches(h, 'html|\\.htm\\b|xml|\\.fb2\\b') THEN 'html' WHEN regexp_matches(h, 'text|\\.txt\\b|\\.md\\b|muse|\\.json\\b|\\.csv\\b') THEN 'text' WHEN contains(h, 'pdf') THEN 'pdf' WHEN contains(h, 'epub') THEN 'epub' WHEN regexp_matches(h, 'image|\\.(png|jpe?g|tiff?)\\b') THEN 'image' ELSE 'skip:unsupported' END AS mode FROM u"""),
-    "munge": (lambda c: _docs(c).select("doc_id", cleaned(F.col("text")).alias("text")), None),
-    "fuzzy_title_match": (titles.fuzzy_titles, f"""WITH t AS (SELECT id, list_distinct(list_filter(regexp_extract_all(lower(coalesce(title, '')), '[\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 2 AND w NOT IN ({", ".join(f"'{w}'" for w in titles.TITLE_STOP)}))) ws FROM works)
-      SELECT x.id AS a, y.id AS b FROM t x JOIN t y ON x.id < y.id AND len(x.ws) >= 2 AND len(y.ws) >= 2 AND len(list_intersect(x.ws, y.ws)) >= 0.8 * (len(x.ws) + len(y.ws) - len(list_intersect(x.ws, y.ws)))"""),
     "dedupe_queries": (titles.distinct_queries, "WITH q AS (SELECT id, trim(regexp_replace(search_query, '[ \\t\\r\\n\\f]+', ' ', 'g'), ' ') query FROM works) SELECT id, query FROM (SELECT *, row_number() OVER (PARTITION BY lower(query) ORDER BY id) rn FROM q WHERE query <> '') WHERE rn = 1"),
     "freshness": (titles.freshness, CTE + """, a AS (SELECT id, date_diff('second', date_trunc('second', updated_at), TIMESTAMP '2025-01-01 00:00:00') s FROM dl) SELECT id, coalesce(CASE WHEN s < 60 THEN s::VARCHAR || 's' WHEN s < 3600 THEN (s // 60)::VARCHAR || 'm' WHEN s < 172800 THEN (s // 3600)::VARCHAR || 'h' ELSE (s // 86400)::VARCHAR || 'd' END, 'never') AS age, coalesce(s >= 1800, true) AS stale FROM a"""),
-    "dynamic_category": (titles.word_category, f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) word FROM documents), n AS (SELECT doc_id, word, count(*) n FROM t WHERE word NOT IN ({", ".join(f"'{w}'" for w in (*T.COMMON, *T.NOT_WORDS))}) GROUP BY 1, 2 HAVING count(*) >= 3)
-      SELECT doc_id, word, n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) rn FROM n) WHERE rn = 1"""),
     "quality_summary": (lambda c: _docs(c).select(T.quality_heuristic(F.col("text"))["status"].alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n")), f"""WITH t AS (SELECT doc_id, coalesce(text, '') text FROM documents), m AS (SELECT {TRIM.format('text')} bare, text, length(text) - length(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f-\\x{{9f}}]', '', 'g')) c,
-      length(text) - length(replace(text, chr(65533), '')) r, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]{{3,}}')) w, greatest(length(text), 1) n FROM t) SELECT CASE WHEN bare = '' OR contains(substring(text, 1, 200), chr(0)) OR c / n > 0.03 OR r / n > 0.02 THEN 'unusable' WHEN length(bare) < 120 OR w < 12 THEN 'suspect' ELSE 'usable' END AS status, count(*) AS n FROM m GROUP BY 1"""),
+      length(text) - length(replace(text, chr(65533), '')) r, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]{{3,}}')) w, greatest(length(text), 1) n FROM t) SELECT CASE WHEN bare = '' OR contains(substring(text, 1, 200), chr(0)) OR starts_with(text, chr(31) || chr(65533)) OR starts_with(text, chr(31) || chr(139)) OR starts_with(text, chr(139)) OR c / n > 0.03 OR r / n > 0.02 THEN 'unusable' WHEN length(bare) < 120 OR w < 12 THEN 'suspect' ELSE 'usable' END AS status, count(*) AS n FROM m GROUP BY 1"""),
     "fts_tokens": (lambda c: search.body_tokens(c.documents).groupBy("token").agg(F.count_distinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("hits")), f"WITH {BODY} SELECT token, count(DISTINCT doc_id) AS documents, count(*) AS hits FROM tok GROUP BY 1"),
     "fts_postings": (lambda c: search.postings(search.indexed_texts(c)).groupBy("field", "token").agg(F.count_distinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("hits")), TEXTS + ", words AS (" + " UNION ALL ".join(f"SELECT doc_id, '{f}' AS field, unnest({TOKENS.format(f)}) token FROM texts" for f in search.WEIGHTS) + ") SELECT field, token, count(DISTINCT doc_id) AS documents, count(*) AS hits FROM words GROUP BY 1, 2"),
     "fts_all": (lambda c: search.match_all(c.documents, ["lantern", "harbour"]), f"WITH {BODY} SELECT doc_id FROM tok WHERE token IN ('lantern', 'harbour') GROUP BY 1 HAVING count(DISTINCT token) = 2"),
@@ -198,22 +168,14 @@ ENTRIES: dict[str, Entry] = {
     "fts_column": (lambda c: search.postings(search.indexed_texts(c)).filter("field = 'title' and token = 'history'").select("doc_id").distinct(), TEXTS + f", words AS (SELECT doc_id, unnest({TOKENS.format('title')}) token FROM texts) SELECT DISTINCT doc_id FROM words WHERE token = 'history'"),
     "fts_total": (lambda c: search.match_any(c.documents, ["lantern"]).agg(F.count(F.lit(1)).alias("total")), f"WITH {BODY} SELECT count(DISTINCT doc_id) AS total FROM tok WHERE token = 'lantern'"),
     "fts_bm25": (lambda c: search.bm25(search.indexed_texts(c), ["history", "treaty", "lantern"]), _bm25_sql(["history", "treaty", "lantern"])),
-    "fts_search": (lambda c: search.search(c, ["treaty", "siege"]), None),
-    "fts_snippet": (lambda c: search.snippets(c.documents, "treaty"), None),
-    "fts_sync_diff": (lambda c: search.sync_diff(c, c.extractions.filter("text_uri is not null").join(c.documents.select("doc_id", "text_uri"), "text_uri").groupBy("doc_id").agg(F.max("text_sha256").alias("digest"))),
-      """WITH i AS (SELECT doc_id, max(text_sha256) digest FROM extractions JOIN documents USING (text_uri) WHERE text_uri IS NOT NULL GROUP BY 1), n AS (SELECT doc_id, sha256(text) now FROM documents WHERE text IS NOT NULL)
-      SELECT doc_id, action FROM (SELECT coalesce(n.doc_id, i.doc_id) AS doc_id, CASE WHEN n.now IS NULL THEN 'delete' WHEN i.digest IS NULL THEN 'insert' WHEN i.digest <> n.now THEN 'update' END AS action FROM n FULL JOIN i ON i.doc_id = n.doc_id) WHERE action IS NOT NULL"""),
     "corpus_select": (lambda c: corpus.select(c, category="history", limit=200).select("doc_id", "extraction_id", "title", "site"), SELECTED + "SELECT doc_id, extraction_id, title, site FROM sel WHERE category = 'history' ORDER BY lower(title) NULLS FIRST, text_sha256 NULLS FIRST, extraction_id LIMIT 200"),
     "corpus_order_title": (lambda c: corpus.ordered(c, "title"), SELECTED + "SELECT row_number() OVER (ORDER BY lower(coalesce(title, '')), lower(coalesce(author, '')), text_sha256 NULLS FIRST, extraction_id, doc_id) AS item_index, extraction_id, doc_id FROM sel"),
     "corpus_order_hash": (lambda c: corpus.ordered(c, "hash"), SELECTED + "SELECT row_number() OVER (ORDER BY text_sha256 NULLS FIRST, extraction_id, doc_id) AS item_index, extraction_id, doc_id FROM sel"),
     "corpus_order_created": (lambda c: corpus.ordered(c, "created"), SELECTED + "SELECT row_number() OVER (ORDER BY extraction_id, doc_id) AS item_index, extraction_id, doc_id FROM sel"),
     "corpus_order_seeded": (lambda c: corpus.ordered(c, "seeded", 42), SELECTED + "SELECT row_number() OVER (ORDER BY sha256('42:' || coalesce(text_sha256, '')), text_sha256 NULLS FIRST, extraction_id, doc_id) AS item_index, extraction_id, doc_id FROM sel"),
-    "corpus_items": (lambda c: corpus.items(c, PAIRS), SELECTED + f"SELECT row_number() OVER (ORDER BY lower(coalesce(title, '')), lower(coalesce(author, '')), text_sha256 NULLS FIRST, extraction_id, doc_id) AS item_index, extraction_id, doc_id, sha256({SUBSTITUTED}) AS sha256, length({SUBSTITUTED})::BIGINT AS chars FROM sel"),
+    "corpus_items": (lambda c: corpus.items(c, PAIRS).select("item_index", "extraction_id", "doc_id", "sha256", "chars"), SELECTED + f"SELECT row_number() OVER (ORDER BY lower(coalesce(title, '')), lower(coalesce(author, '')), text_sha256 NULLS FIRST, extraction_id, doc_id) AS item_index, extraction_id, doc_id, sha256({SUBSTITUTED}) AS sha256, length({SUBSTITUTED})::BIGINT AS chars FROM sel"),
     "corpus_integrity": (corpus.integrity, "SELECT e.id AS extraction_id, d.doc_id, coalesce(sha256(d.text) = e.text_sha256, false) AS ok FROM extractions e JOIN documents d ON d.text_uri = e.text_uri WHERE e.status = 'processed' AND d.text IS NOT NULL"),
     "corpus_totals": (lambda c: corpus.totals(c, PAIRS), SELECTED + f"SELECT category, count(*) AS items, sum(length({SUBSTITUTED}))::BIGINT AS chars FROM sel GROUP BY 1"),
-    "corpus_text": (lambda c: corpus.combined(c).select("item_index", T.digest(F.col("block")).alias("sha")), SELECTED + f""", n AS (SELECT *, row_number() OVER (ORDER BY lower(coalesce(title, '')), lower(coalesce(author, '')), text_sha256 NULLS FIRST, extraction_id, doc_id) AS item_index FROM sel)
-      SELECT item_index, sha256('----- BEGIN ' || item_index::VARCHAR || ' -----' || chr(10) || 'Title: ' || coalesce(title, '') || chr(10) || 'Author: ' || coalesce(author, '') || chr(10) || 'Category: ' || category || chr(10) || 'SHA-256: ' || coalesce(text_sha256, '') || chr(10) || chr(10) || {CORPUS} || chr(10) || '----- END ' || item_index::VARCHAR || ' -----' || chr(10)) AS sha FROM n"""),
-    "corpus_manifest": (lambda c: corpus.manifest(c, "all"), None),
     "upsert_files": (lambda c: latest(c.files, ["work_id", "format", "url"], [F.desc_nulls_last("created_at"), F.desc("id")]).select("id", "work_id", "site"), "SELECT id, work_id, site FROM (SELECT *, row_number() OVER (PARTITION BY work_id, format, url ORDER BY created_at DESC NULLS LAST, id DESC) rn FROM files) WHERE rn = 1"),
     "upsert_works": (lambda c: merge.add_missing(c.works.filter("id <= 300"), c.works.filter("id > 300"), ["title", "author"], "id").select("id", "title"), "SELECT id, title FROM (SELECT *, row_number() OVER (PARTITION BY title, author ORDER BY id) rn FROM works WHERE id > 300) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM works o WHERE o.id <= 300 AND o.title IS NOT DISTINCT FROM n.title AND o.author IS NOT DISTINCT FROM n.author)"),
     "upsert_categories": (lambda c: merge.merge_categories(c.read("categories"), c.extractions.filter("category <> ''").select(F.col("category").alias("name"), F.lit(None).cast("string").alias("description"), F.lit("[]").alias("keywords_json"), F.lit(1).alias("dynamic")).distinct()),
@@ -232,9 +194,15 @@ ENTRIES: dict[str, Entry] = {
 }
 
 
+def entries() -> dict[str, Entry]:
+    from quire.plans import more
+
+    return ENTRIES | more.ENTRIES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda s, d, f=make: f(Catalog(s, d))) for name, (make, _) in ENTRIES.items()}
+    return {name: (lambda s, d, f=make: f(Catalog(s, d))) for name, (make, _) in entries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in ENTRIES.items() if sql}
+    return {name: sql for name, (_, sql) in entries().items() if sql}

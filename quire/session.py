@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> Sp
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -39,11 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, else one set here for a local session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session. Where it is unset, a temporary folder is taken for a
+    local session, whose executors are this machine; a cluster must name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quire-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

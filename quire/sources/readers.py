@@ -8,6 +8,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,19 +52,15 @@ def html_text(markup: str | None) -> str | None:
 
 
 def decode_bytes(raw: bytes | None) -> str | None:
-    """UTF-8, else UTF-16 with a byte-order mark, else Latin-1, which never fails."""
+    """UTF-8, else UTF-16, else Latin-1, which never fails."""
     if raw is None:
         return None
-    try:
-        return raw.decode("utf-8-sig")
-    except UnicodeDecodeError:
-        pass
-    if raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
+    for name in ("utf-8-sig", "utf-16", "latin-1"):
         try:
-            return raw.decode("utf-16")
+            return raw.decode(name)
         except UnicodeDecodeError:
-            pass
-    return raw.decode("latin-1")
+            continue
+    return None
 
 
 def gunzip(raw: bytes | None) -> bytes | None:
@@ -77,30 +74,49 @@ def gunzip(raw: bytes | None) -> bytes | None:
 
 
 def epub_text(raw: bytes | None) -> str | None:
-    """The text of the chapters of an EPUB in the order of their names; null where it can't be read."""
+    """The text of the chapters of an EPUB in the order of its spine, of their names without one; null where it can't be read."""
     if raw is None:
         return None
     try:
         with zipfile.ZipFile(io.BytesIO(raw)) as book:
-            names = sorted(n for n in book.namelist() if n.lower().endswith((".xhtml", ".html", ".htm")))
+            names = _spine(book) or sorted(n for n in book.namelist() if n.lower().endswith((".xhtml", ".html", ".htm")))
             return "\n\n".join(filter(None, (html_text(decode_bytes(book.read(n))) for n in names)))
     except (zipfile.BadZipFile, KeyError):
         return None
 
 
-def mode_of(name: Column, content_type: Column) -> Column:
-    """How an artefact is to be read, from its name and content type; what cannot be read is skipped, not failed."""
-    hint = F.lower(F.concat_ws(" ", F.coalesce(name, F.lit("")), F.coalesce(content_type, F.lit(""))))
-    has = lambda *words: hint.rlike("|".join(words))
+def _spine(book: zipfile.ZipFile) -> list[str]:
+    """The chapters that the package file of a book lists, in reading order."""
+    package = next((n for n in book.namelist() if n.lower().endswith(".opf")), None)
+    if package is None:
+        return []
+    try:
+        root = ElementTree.fromstring(book.read(package))
+    except ElementTree.ParseError:
+        return []
+    local = lambda e: e.tag.rpartition("}")[2]
+    items = {e.get("id"): e.get("href") for e in root.iter() if local(e) == "item"}
+    base = package.rpartition("/")[0]
+    names = [(f"{base}/" if base else "") + items[e.get("idref")] for e in root.iter() if local(e) == "itemref" and items.get(e.get("idref"))]
+    return [n for n in names if n in book.namelist()]
+
+
+def mode_of(name: Column, content_type: Column, file_format: Column | None = None) -> Column:
+    """How an artefact is to be read, from the suffix of its name and what content type and format hint at; what cannot be
+    read is skipped, not failed."""
+    suffix = F.regexp_extract(F.lower(F.coalesce(name, F.lit(""))), r"\.[a-z0-9]+$", 0)
+    hint = F.lower(F.concat_ws(" ", F.coalesce(content_type, F.lit("")), F.coalesce(file_format, F.lit("")) if file_format is not None else F.lit("")))
+    ends = lambda *names: suffix.isin(*names)
+    has = lambda word: F.contains(hint, F.lit(word))
     return (
-        F.when(has("encrypted", "drm"), "skip:encrypted")
-        .when(has("torrent"), "skip:torrent")
-        .when(has("\\.gz\\b", "gzip"), "gzip")
-        .when(has("html", "\\.htm\\b", "xml", "\\.fb2\\b"), "html")
-        .when(has("text", "\\.txt\\b", "\\.md\\b", "muse", "\\.json\\b", "\\.csv\\b"), "text")
-        .when(has("pdf"), "pdf")
-        .when(has("epub"), "epub")
-        .when(has("image", "\\.(png|jpe?g|tiff?)\\b"), "image")
+        F.when(has("encrypted") | ends(".lcpdf"), "skip:encrypted")
+        .when(ends(".torrent", ".aria2", ".part", ".resume"), "skip:torrent")
+        .when(ends(".gz"), "gzip")
+        .when(ends(".html", ".htm", ".xml", ".fb2") | has("html") | has("fb2"), "html")
+        .when(ends(".txt", ".text", ".md", ".muse", ".json", ".csv") | has("text") | has("muse"), "text")
+        .when(ends(".pdf") | has("pdf"), "pdf")
+        .when(ends(".epub") | has("epub"), "epub")
+        .when(ends(".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp") | has("image/"), "image")
         .otherwise("skip:unsupported")
     )
 
@@ -145,60 +161,31 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """(title, link, author, item_id) of the items of RSS or Atom files; items without a title or link are left out."""
+    """The items of the RSS or Atom files of a path (see ``pages.feed_rows``); each file is a feed named by its path."""
+    from quire.sources.pages import feed_rows
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [row for raw in frame["content"] for row in feed_items(decode_bytes(bytes(raw)) or "")]
-            yield pd.DataFrame(rows, columns=["title", "link", "author", "item_id"])
+    @F.pandas_udf("string")
+    def decoded(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: decode_bytes(bytes(b)))
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "title string, link string, author string, item_id string")
+    files = spark.read.format("binaryFile").load(path)
+    return feed_rows(files.select(F.col("path").alias("feed_url"), F.col("path").alias("feed_name"), decoded("content").alias("xml")))
 
 
-def feed_items(text: str) -> list[tuple[str, str, str | None, str]]:
-    """The items of a feed by the local names of their elements."""
-    from xml.etree import ElementTree
+def select_payloads(spark: SparkSession, folder: str, extensions: tuple[str, ...], most: int) -> DataFrame:
+    """(path, length) of the files of a folder and its subfolders that have one of the extensions, are not empty and not
+    larger than ``most`` bytes; only the listing is read, no content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    suffix = F.regexp_extract(F.lower("path"), r"\.[a-z0-9]+$", 0)
+    return files.filter(suffix.isin(*extensions) & (F.col("length") > 0) & (F.col("length") <= most))
 
-    try:
-        root = ElementTree.fromstring(text)
-    except ElementTree.ParseError:
-        return []
-    local = lambda e: e.tag.rpartition("}")[2].lower()
-    clean = lambda s: re.sub(r"\s+", " ", s or "").strip()
-    out = []
-    for item in (e for e in root.iter() if local(e) in ("item", "entry")):
-        title = link = author = own = alternate = enclosure = ""
-        for e in item:
-            name = local(e)
-            if name == "title":
-                title = clean(e.text)
-            elif name == "link":
-                href = e.get("href") or clean(e.text)
-                if e.get("rel") == "alternate":
-                    alternate = alternate or href
-                link = link or href
-            elif name == "enclosure":
-                enclosure = enclosure or e.get("url", "")
-            elif name in ("creator", "author"):
-                author = author or clean(e.text) or clean("".join(e.itertext()))
-            elif name in ("guid", "id"):
-                own = clean(e.text)
-        url = enclosure or alternate or link or (own if own.startswith("http") else "")
-        if title and url:
-            out.append((title, url, author or None, own or url))
-    return out
-
-
-def page_links(markup: str | None, base: str = "") -> list[str]:
-    """The absolute http links of a page without fragments, each once, in order."""
-    from urllib.parse import urldefrag, urljoin
-
-    out: dict[str, None] = {}
-    for href in re.findall(r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']+)["']""", markup or ""):
-        try:
-            url = urldefrag(urljoin(base, href.strip()))[0]
-        except ValueError:
-            continue
-        if url.startswith(("http://", "https://")):
-            out.setdefault(url)
-    return list(out)
+
+def read_words(spark: SparkSession, path: str) -> DataFrame:
+    """(word) of a dictionary file: those of four letters a to z or more, each once."""
+    return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter(F.col("word").rlike("^[a-z]{4,}$")).distinct()
+
+
+def read_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, text) of files that must be UTF-8: reading any other file fails."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select("path", F.call_function("validate_utf8", F.col("content").cast("string")).alias("text"))

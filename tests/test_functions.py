@@ -1,6 +1,7 @@
 """Text, URL, search, corpus and merge functions on rows made for the purpose."""
 
 import itertools
+import math
 import re
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions import urls as U
-from quire.operators import corpus, merge, search
+from quire.operators import corpus, merge, search, state
 from quire.predicates import ascii_contains, format_rank, size_bytes
 
 
@@ -59,10 +60,30 @@ def test_unwrap_keeps_lists_and_joins_long_lines(spark):
     assert one(spark, text, T.unwrap) == f"{long.strip()} more\n\n- one\n- two\n\nshort\nverse"
 
 
-def test_strip_boilerplate(spark):
-    text = "head\n*** START of it\nbody\n*** END of it\ntail"
-    assert one(spark, text, T.strip_boilerplate) == "body\n"
-    assert one(spark, "nothing", T.strip_boilerplate) == "nothing"
+def test_between_notices(spark):
+    text = "head\n*** Start of the Project Gutenberg EBook\nbody\n"
+    assert one(spark, text, T.between_notices) == "body\n"
+    assert one(spark, "body\n*** END OF THIS PROJECT GUTENBERG\ntail", T.between_notices) == "body\n"
+    assert one(spark, "nothing", T.between_notices) == "nothing" and one(spark, None, T.between_notices) is None
+
+
+def test_rules():
+    made = T.checked_rules([{"type": "literal", "from": "a", "max_replacements": 0}, {"type": "regex", "from": "("}, {"type": "other", "from": "x"}, "no", {"type": "literal", "from": "b" * 201}, {"type": "regex", "from": "b+", "max_replacements": 10**6}])
+    assert [(r["from"], r["most"]) for r in made] == [("a", 1000), ("b+", 10_000)]
+    with pytest.raises(ValueError):
+        T.checked_rules({})
+
+
+def test_apply_rules(spark):
+    rules = T.checked_rules([{"type": "literal", "from": "a.", "to": "$1", "max_replacements": 2}, {"type": "regex", "from": "[0-9]+$", "to": "#"}])
+    row = spark.createDataFrame([("a.a.a.ab 12",), (None,)], "x string").select(T.apply_rules(F.col("x"), rules)[0].alias("y"), *[c.alias(f"n{k}") for k, c in enumerate(T.apply_rules(F.col("x"), rules)[1])]).collect()
+    assert tuple(row[0]) == ("$1$1a.ab #", 2, 1) and row[1]["y"] is None
+
+
+@pytest.mark.parametrize(("value", "want"), [('{"k": 1} x', 1), ('x ```json\n{"k": 2}\n``` {"k": 3}', 2), ("none", None), (None, None)])
+def test_first_json(spark, value, want):
+    got = one(spark, value, lambda c: T.first_json(c, "k int"))
+    assert (got and got["k"]) == want
 
 
 def test_quality_heuristic(spark):
@@ -98,10 +119,28 @@ def test_bm25_matches_the_formula(spark):
     texts = spark.createDataFrame(rows, "doc_id long, title string, author string, category string, site string, body string")
     got = {r["doc_id"]: r["score"] for r in search.bm25(texts, ["history"]).collect()}
     mean = (4 + 3 + 2 + 2 * 5) / 8
-    want = lambda f, size: -search.idf(8, 2) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size / mean))
+    idf = math.log((8 - 2 + 0.5) / (2 + 0.5))
+    want = lambda f, size: -idf * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size / mean))
     assert got == {1: pytest.approx(want(8, 4), abs=1e-5), 2: pytest.approx(want(2, 3), abs=1e-5)}
 
 
+def test_stored_index_scores_as_the_texts(spark, tmp_path):
+    rows = [(k, f"title {k % 3}", "a", "c", "s", " ".join(["lamp"] * (k % 4) + ["word"] * k)) for k in range(12)]
+    texts = spark.createDataFrame(rows, "doc_id long, title string, author string, category string, site string, body string")
+    search.write_index(texts, str(tmp_path), shards=4)
+    assert sorted(search.search_index(spark, str(tmp_path), ["lamp", "2"], shards=4).collect()) == sorted(search.bm25(texts, ["lamp", "2"]).collect())
+
+
+def test_query_of_a_user(spark):
+    docs = spark.createDataFrame([(1, "the old Empire of Café"), (2, "empire old café"), (3, "old empire")], "doc_id long, text string")
+    ids = lambda *a: sorted(r[0] for r in search.match_query(docs, *a).collect())
+    assert ids('"old empire" cafe') == [1] and ids("cafe empire") == [1, 2] and ids('"old empire" cafe', "any") == [1, 2, 3] and ids("old empire", "phrase") == [1, 3]
+
+
+def test_folding_covers_all_marked_letters(spark):
+    assert one(spark, "Łódź Dvořák ČESKÝ Ёлка ǅ", search.tokens, "string") == ["łodz", "dvorak", "cesky", "елка", "ǆ"]
+
+
 def test_numbered_is_the_sorted_order_however_partitioned(spark):
     rows = spark.range(500).select(((F.col("id") * 7919) % 503).alias("k"))
     for parts in (1, 7):
@@ -127,40 +166,83 @@ def test_manifest_is_the_same_however_often_built(spark):
 
     c = Catalog(spark, "/root/testdata/sf0.001")
     assert corpus.manifest(c, "x").collect() == corpus.manifest(c, "x").collect()
-    assert corpus.shuffled_keys(["b", "a", "c"], 1) == corpus.shuffled_keys(["c", "b", "a"], 1)
 
 
-def test_clean_drops_furniture_and_joins_words(spark):
-    from quire.functions.clean import clean, cleaned
+def test_manifest_hash_is_that_of_the_canonical_json(spark):
+    import hashlib
+
+    from quire.catalog import Catalog
+
+    c = Catalog(spark, "/root/testdata/sf0.001")
+    pairs = [("the ", "The ")]
+    rows = sorted(corpus.items(c, pairs).collect(), key=lambda r: r["item_index"])
+    names = {"item_index": "item_index", "extraction_id": "extraction_id", "work_id": "work_id", "title": "title", "author": "author", "site": "site", "format": "format", "category": "category", "text_uri": "text_uri", "text_sha256": "text_sha256", "transformed_sha256": "sha256", "char_count": "chars"}
+    subs = [{"from": a, "to": b} for a, b in pairs]
+    whole = {"format": "corpus.v1", "name": "x", "selection": {"category": None, "site": None, "query": None, "limit": None, "use_munged": False}, "ordering_strategy": "title", "seed": 0, "normalizer_version": "corpus-normalize.v1", "substitutions_sha256": hashlib.sha256(corpus.canonical_json(subs).encode()).hexdigest(), "substitutions": subs, "item_count": len(rows), "total_chars": sum(r["chars"] for r in rows), "items": [{k: r[v] for k, v in names.items()} for r in rows]}
+    assert corpus.manifest_hash(c, "x", pairs=pairs) == hashlib.sha256(corpus.canonical_json(whole).encode()).hexdigest()
+
 
+def test_munge_drops_furniture_and_joins_words(spark):
     page = "RUNNING HEAD {k}\nThe divi-\nsion of “labour” ﬁts here and goes on for {w} while on this long line.\nMore {w} of the paragraph that runs on past the break.\n{k}\n\n"
     text = "".join(page.format(k=k, w=w) for k, w in ((7, "some"), (8, "quite a"), (9, "no")))
-    out = clean(text)
-    assert "RUNNING" not in out and 'The division of "labour" fits here' in out and "\n7" not in out
-    assert clean(out) == out and clean(None) is None and clean("�\x01") == ""
-    assert one(spark, text, cleaned) == out
+    got = one(spark, text, T.munged)
+    assert "RUNNING" not in got["text"] and 'The division of "labour" fits here' in got["text"] and "\n7" not in got["text"]
+    assert got["removed_running_lines"] == 6 and got["original_chars"] == len(text) and got["cleaned_chars"] == len(got["text"])
+    assert one(spark, got["text"], T.munged)["text"] == got["text"]
+    assert one(spark, None, T.munged) is None and one(spark, "\ufffd\x01", T.munged)["text"] == ""
+
+
+@pytest.mark.parametrize(
+    ("value", "want"),
+    [("a\r\nb", "a\nb"), ("x\u200by", "xy"), ("²\u00a0½", "2 1⁄2"), ("a  \t b \n c", "a b\nc"), ("\n\n\na\n\n\n\nb", "a\n\nb"), ("e\u0301", "é"), ("one\u2028two", "one\ntwo"), ("- 12 -\ntext", "text"), ("- item one\n- item two", "- item one\n- item two")],
+)
+def test_munge_in_order(spark, value, want):
+    assert one(spark, value, T.munged)["text"] == want
 
 
 def test_fuzzy_titles(spark):
     from quire.operators.titles import fuzzy_titles
 
+    made = [
+        (1, "A History of the Old Empire in Dale", "A. Person"), (2, "History of the Old Empire, Dale", "A. Person and others"), (3, "The Old Castle of Hill", None), (4, None, None), (5, "the old castle of hill!", None),
+        (6, "Letters", "X"), (7, "Letters", "Y"), (8, "Barometers and Thermometers", None), (9, "Barometars and Thermometers", None), (10, "Castle", None),
+    ]
+
     class Fake:
-        works = spark.createDataFrame([(1, "A History of the Old Empire in Dale"), (2, "History of the Old Empire, Dale"), (3, "The Old Castle of Hill"), (4, None)], "id long, title string")
+        works = spark.createDataFrame(made, "id long, title string, author string")
 
-    assert fuzzy_titles(Fake()).collect() == [(1, 2)]
+    sure = {(1, 2), (3, 5), (6, 7)}
+    for block in (1, 200):
+        assert {tuple(r) for r in fuzzy_titles(Fake(), block=block).collect()} == sure
+    assert {tuple(r) for r in fuzzy_titles(Fake(), ratio=0.9).collect()} == sure | {(8, 9)}
 
 
-def test_fuzzy_titles_of_frequent_words(spark):
-    from quire.operators.titles import fuzzy_titles
+def test_categories_by_words(spark):
+    rows = [(1, "The Garden", "old garden", "garden lamp lamp lamp"), (2, None, None, "harbour harbour harbour lamp"), (3, None, None, "harbour"), (4, "Book of the", None, None)]
+    got = {r["doc_id"]: (r["name"], r["keywords"]) for r in T.word_category(spark.createDataFrame(rows, "doc_id long, title string, search_query string, text string")).collect()}
+    assert got == {1: ("garden", "garden,lamp"), 2: ("harbour", "harbour,lamp"), 3: ("uncategorized", ""), 4: ("uncategorized", "")}
 
-    class Fake:
-        rows = [(1, "History Empire"), (2, "Empire: a History"), (3, "History Empire River Castle Valley"), (4, "Castle River Empire History")]
-        works = spark.createDataFrame(rows + [(k, f"History Empire River Castle Valley f{k}a f{k}b f{k}c") for k in range(10, 220)], "id long, title string")
-
-    assert sorted(map(tuple, fuzzy_titles(Fake()).collect())) == [(1, 2), (3, 4)]
-    assert sorted(map(tuple, fuzzy_titles(Fake(), block=1).collect())) == [(1, 2), (3, 4)]
-    # at a lower bound the frequent words make the pairs, in many blocks
-    sets = [(i, set(re.findall("[a-z0-9]{3,}", title.lower()))) for i, title in Fake.rows]
-    sets += [(k, {"history", "empire", "river", "castle", "valley", f"f{k}a", f"f{k}b", f"f{k}c"}) for k in range(10, 220)]
-    want = {(i, j) for (i, x), (j, y) in itertools.combinations(sets, 2) if len(x & y) >= 0.45 * len(x | y)}
-    assert {tuple(r) for r in fuzzy_titles(Fake(), 0.45, block=7).collect()} == want
+
+def test_health_and_activity(spark):
+    counts = spark.createDataFrame([(0, 0, 1, 0, 0, 1, 0, 0, False)], "infected int, worker_failed int, worker_running int, extraction_failed int, raw_failed int, pending_downloads int, pending_extractions int, pending_raw int, stale boolean")
+    assert tuple(state.health(counts).first())[:2] == ("running", "background work is active")
+    assert state.health(counts.withColumn("worker_running", F.lit(0))).first()["state"] == "queued"
+    assert one(spark, "Batch x-1 FAILED:  it", state.message) == "failed it"
+    assert one(spark, "odd", lambda c: state.activity(c, F.lit("x"))) == "note"
+
+
+def test_sessions_without_a_shared_folder_are_refused(monkeypatch):
+    from quire import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Conf:
+        def get(self, name, default):
+            return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(type("S", (), {"sparkContext": Context(), "conf": Conf()})())
