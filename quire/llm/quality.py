@@ -1,9 +1,11 @@
 """Per-document text quality statistics and the documents that are not prose (problem 4).
 
 Each document gets its counts and ratios, and the share of its characters that stand in lines of prose, of a list, of a table
-and of junk. For each language a mergeable quantile sketch of every statistic is built; values become percentiles and robust
-z-scores against it, which flag the tails. A document of which less than half is prose is named by the largest other share,
-whether it lies in a tail or not: where many texts of a language are lists or tables, none of them is in one.
+and of junk. For each language a mergeable quantile sketch of every statistic is built, and values become percentiles and
+robust z-scores against it. Where natural prose ends is read from the sketch of the share of prose itself: its two heaps, texts of
+prose and texts of other things, are parted where the spread between them is largest, and what lies below is the tail. A tail of less than a
+fortieth of a language, or a language whose sketch has no second heap, is parted as all languages together are; so the
+bound moves with the corpus, and it holds where a third of a language or more are tables. A document in the tail is named by the largest of its other shares.
 
 Defined cases: null, empty and blank texts have zero counts, null ratios and no kind; a language with one document has
 z-scores against the floor of the spread; repeated rows give repeated results; extra columns are ignored. Garbled texts are
@@ -34,7 +36,10 @@ STATISTICS = ("n_words", "mean_word", "symbol_ratio", "digit_ratio", "line_end_s
 #: A robust z-score beyond this is a tail, and no spread is taken to be smaller than its floor.
 TAIL = 3.0
 #: Steps of the percentiles read from a sketch.
-GRID = 40
+GRID = 200
+#: How far apart the means of the two heaps of the share of prose must be, and the bound where no sketch shows two.
+APART = 0.5
+HALF = 0.5
 FLOOR = {"n_words": 20.0, "mean_word": 0.3, "symbol_ratio": 0.01, "digit_ratio": 0.01, "line_end_share": 0.1, "common_share": 0.03, "prose_share": 0.05}
 
 _WORD = "[^\\W\\d_]"
@@ -227,43 +232,68 @@ def statistics(docs: DataFrame) -> DataFrame:
     return lean(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def scored(stats: DataFrame) -> DataFrame:
-    """``stats`` with, for each statistic, its percentile ``p_*`` and robust z-score ``z_*`` within the language.
+def parted(levels: list[float] | None) -> float | None:
+    """Where the quantiles of a share fall into two heaps: the middle of the gap that leaves the largest spread between the means
+    of both sides (for equal spreads the widest gap); None where the means are less than ``APART`` from each other."""
+    if not levels:
+        return None
+    n, total = len(levels), sum(levels)
+    best, bound, below = (0.0, 0.0), None, 0.0
+    for k in range(1, n):
+        below += levels[k - 1]
+        low, high = below / k, (total - below) / (n - k)
+        spread = (round(k * (n - k) * (high - low) ** 2 / n / n, 6), levels[k] - levels[k - 1])
+        if high - low >= APART and spread > best:
+            best, bound = spread, (levels[k] + levels[k - 1]) / 2
+    return bound
+
+
+def bounds(levels: DataFrame) -> DataFrame:
+    """(language, bound): where prose ends in each language, from its quantiles (language, q_prose_share)."""
+    rows = {r["language"]: r["q_prose_share"] for r in levels.select("language", "q_prose_share").collect()}  # at most one for each language of the list, and one
+    common = parted(rows.get(""))
+    common = HALF if common is None else common
+    own = [(name, float(bound if (bound := parted(q)) is not None else common)) for name, q in rows.items()]
+    return levels.sparkSession.createDataFrame(own, "language string, bound double")
+
+
+def sketched(stats: DataFrame) -> DataFrame:
+    """(language, q_*): the quantiles of each statistic by language, and of all languages together under ''.
 
     One sketch for each statistic and language is all that is gathered (a few kilobytes each, at most one per language of the
-    fixed list and one for the rest), so it can be sent to every task whatever the number of documents.
-    """
+    fixed list and one for the rest), so it can be sent to every task whatever the number of documents."""
     sketches = stats.filter("n_words > 0").groupBy("language").agg(*[F.expr(f"kll_sketch_agg_double(double({c}))").alias(f"s_{c}") for c in STATISTICS])
     # texts without any frequent word are held against all languages together: the sketches merge
     pooled = sketches.groupBy(F.lit("").alias("language")).agg(*[F.expr(f"kll_merge_agg_double(s_{c})").alias(f"s_{c}") for c in STATISTICS])
     sketches = sketches.filter("language <> ''").unionByName(pooled)
     marks = ", ".join(f"{k / GRID}D" for k in range(1, GRID))
-    levels = sketches.select("language", *[F.expr(f"kll_sketch_get_quantile_double(s_{c}, array({marks}))").alias(f"q_{c}") for c in STATISTICS])
-    # at most len(COMMON) + 1 rows
-    joined = stats.join(F.broadcast(levels), "language", "left")
+    return cut(sketches.select("language", *[F.expr(f"kll_sketch_get_quantile_double(s_{c}, array({marks}))").alias(f"q_{c}") for c in STATISTICS]))
+
+
+def scored(stats: DataFrame, levels: DataFrame) -> DataFrame:
+    """``stats`` with, for each statistic, its percentile ``p_*`` and robust z-score ``z_*`` within the language, and the
+    ``bound`` below which its share of prose is in the tail."""
+    joined = stats.join(F.broadcast(levels), "language", "left").join(F.broadcast(bounds(levels)), "language", "left")  # at most len(COMMON) + 1 rows
     out = list(stats.columns)
     for c in STATISTICS:
         low, middle, high = (F.col(f"q_{c}")[GRID * k // 4 - 1] for k in (1, 2, 3))
         joined = joined.withColumn(f"z_{c}", (F.col(c) - middle) / F.greatest((high - low) / 1.349, F.lit(FLOOR[c])))
         joined = joined.withColumn(f"p_{c}", F.when(F.col(c).isNotNull(), F.expr(f"size(filter(q_{c}, q -> q <= {c})) / {GRID}D")))
         out += [f"z_{c}", f"p_{c}"]
-    return joined.select(*out)
-
-
-def judged(docs: DataFrame) -> DataFrame:
-    """The statistics, scores, ``tail`` and ``kind`` of every document; kind is null for prose, ``tail`` has no part in it."""
-    table = scored(cut(statistics(docs)))
-    tail = (
-        (F.col("z_prose_share") < -TAIL)
-        | (F.col("z_common_share") < -TAIL)
-        | (F.col("z_symbol_ratio") > TAIL)
-        | (F.col("z_digit_ratio") > TAIL)
-        | (F.col("z_line_end_share") < -TAIL)
-        | (F.col("p_prose_share") <= 0.25)
-    )
+    return joined.select(*out, "bound")
+
+
+def judged(docs: DataFrame, levels: DataFrame | None = None) -> DataFrame:
+    """The statistics, scores, ``tail`` and ``kind`` of every document, kind null for prose; ``levels`` in place of the sketches of
+    the documents themselves. ``outlier`` tells that any other statistic lies more than ``TAIL`` robust deviations off."""
+    stats = cut(statistics(docs))
+    table = scored(stats, sketched(stats) if levels is None else levels)
+    outlier = (F.col("z_common_share") < -TAIL) | (F.col("z_symbol_ratio") > TAIL) | (F.col("z_digit_ratio") > TAIL) | (F.col("z_line_end_share") < -TAIL) | (F.abs("z_mean_word") > TAIL)
+    tail = F.col("prose_share") < F.coalesce("bound", F.lit(HALF))
     most = F.greatest("list_share", "table_share", "junk_share")
     kind = F.when(F.col("list_share") == most, "list").when(F.col("table_share") == most, "table").otherwise("junk")
-    return table.withColumn("tail", F.coalesce(tail, F.lit(False))).withColumn("kind", F.when(F.col("prose_share") < 0.5, kind))
+    out = table.withColumn("tail", F.coalesce(tail, F.lit(False))).withColumn("outlier", F.coalesce(outlier, F.lit(False)))
+    return out.withColumn("kind", F.when(F.col("tail"), kind))
 
 
 def found(docs: DataFrame) -> DataFrame:
