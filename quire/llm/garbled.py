@@ -2,9 +2,12 @@
 
 Characters are mapped back to the bytes of a legacy code page, a byte-structure automaton (a regular expression over those
 bytes) finds the maximal well-formed multibyte spans of UTF-8, and only those spans are decoded. A span counts only where it
-decodes to characters that running text is made of. Damage without such a structure is named by its traces: replacement
-characters and question marks inside words, byte-swapped UTF-16, and letters that one single-byte code page shows in place
-of another's; the latter are turned back where one pair of code pages explains every trace.
+decodes to characters that running text is made of. Damage without such a structure is named by its traces:
+replacement characters and question marks inside words, byte-swapped UTF-16, scripts and signs mixed within words, and letters
+that one single-byte code page shows in place of another's. Whether unusual letters are such a trace is never told from a list of
+letters: a model of the corpus counts in how many documents each pair of letters stands, and a word counts as misread
+only where turned back by one pair of code pages it is clearly likelier, so words of any language that the corpus knows nothing of
+stay as they are.
 
 Defined cases: null, empty and blank texts are not affected and have no restored text; a replacement character only at the
 very end is a cut and does not count; repeated rows give repeated results; extra columns are ignored. ``restored`` is the
@@ -14,10 +17,13 @@ repaired text of an affected document, null where the original characters are lo
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from math import log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quire.llm.base import lean
 
@@ -25,8 +31,8 @@ from quire.llm.base import lean
 READ_AS = ("cp1252", "cp1251", "mac_roman", "cp850", "cp437", "koi8_r", "cp1250")
 #: (read as, written in) for single-byte confusions.
 SWAPPED = (("cp1252", "cp1251"), ("cp1251", "cp1252"), ("cp850", "cp1252"), ("cp437", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp850"), ("cp1252", "cp437"), ("koi8_r", "cp1251"), ("cp1251", "koi8_r"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("cp1252", "koi8_r"), ("cp1252", "cp866"), ("iso8859_5", "cp1251"), ("cp1251", "iso8859_5"), ("cp1250", "cp1252"))
-#: Letters beyond ASCII that the archive's languages and names use (fixed values).
-LETTERS = "äöüßÄÖÜéèêëàâçîïôûùœæÉÈÊËÀÂÇÎÏÔÛÙŒÆíóúñáÍÓÚÑÁãõÃÕåøÅØìòÌÒ"
+#: How much likelier (natural logarithm, for each misread word) the words must be once they are turned back.
+LIKELIER = 4.0
 #: Marks that may stand inside or beside words of sound text (fixed values).
 MARKS = "“”‘’«»„‚‹›–—…¿¡°§′″№€£©®™·•†‡½¼¾²³ªº×÷≈√±¶¬│─\u00a0\u00ad\u2010\u2011"
 
@@ -97,6 +103,8 @@ def _fits(text: str, a: int, b: int, plain: str, raw: str) -> bool:
     own = {_script(c) for c in raw} - {""}
     if not letters:  # punctuation or signs: only where the characters shown are odd together
         return bool(own) or len(raw) > 2 or (plain in "\u00a0«»¿¡°§·º" and bool(beside))
+    if letters == {"cyrillic"} and "latin" in beside and len(plain) < 2:
+        return False
     if letters == {"cyrillic"} and "cyrillic" in own and len(plain) < 2 and beside == {"cyrillic"}:
         return bool(re.search("[^\u0410-\u044f\u0401\u0451]", raw))
     return not beside or "latin" not in letters or beside <= {"latin"} or len(plain) > 1
@@ -106,7 +114,7 @@ _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0400-\u045f"
 _LOST = re.compile(f"[{_LETTER}][?][{_LETTER}]|(?:^|[\\s(“«\"])[?][{_LETTER}]|[,.][?](?=\\s)|[{_LETTER}]\ufffd|\ufffd[{_LETTER}]|\ufffd[^\ufffd]")
 _MIXED = re.compile("[A-Za-z\u00c0-\u024f][\u0400-\u045f]|[\u0400-\u045f][A-Za-z\u00c0-\u024f]")
 _ODD_CASE = re.compile("[\u0430-\u044f\u0451][\u0410-\u042f\u0401]")
-_FOREIGN = re.compile(f"(?<=[a-zßäöüéèàáíóúñçêâîôû])[ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞþðýÿ](?=[a-z])|(?<=[A-Za-z])[^\\x00-\\x7f{LETTERS}{MARKS}\u0300-\u036f\u0400-\u045f\u2000-\u2064\ufb00-\ufb06\ufeff\ufffd]|(?<=[a-z])[÷±²³½¼¾·ªº°§¶‚„‡†…•™©®£€¿¡](?=[a-z])|[\x80-\x9f]")
+_FOREIGN = re.compile(f"(?<=[a-zßäöüéèàáíóúñçêâîôû])[ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞþðýÿ](?=[a-z])|(?<=[A-Za-z])[^\\x00-\\x7f\\w{MARKS}\u0300-\u036f\u2000-\u2064\ufb00-\ufb06\ufeff\ufffd]|(?<=[a-z])[÷±²³½¼¾·ªº°§¶‚„‡†…•™©®£€¿¡](?=[a-z])|[\x80-\x9f]")
 _LATIN_RUN = re.compile("(?<![A-Za-z])[\u00c0-\u00ff¸¨]{4,}(?![A-Za-z])")
 _SYMBOL_IN_CYRILLIC = re.compile("(?<=[\u0410-\u044f])[^\\x00-\\x7f\u0400-\u045f{M}\u0300-\u036f\u2000-\u2064\ufeff\ufffd](?=[\u0410-\u044f])".replace("{M}", MARKS) + "|[\u2500-\u259f][\u0410-\u044f]|[\u0410-\u044f][\u2500-\u259f]|[\u0402-\u040f\u0452-\u0450\u0452-\u045f][\u0430-\u044f]".replace("\u0452-\u0450", ""))
 
@@ -127,6 +135,51 @@ def _common(text: str) -> float:
     return sum(c in "оеаинтсрвлäöüßéèàêçáíóúñ’“”" for c in letters) / max(1, len(letters))
 
 
+#: Words with a Latin letter beyond ASCII, the pairs of letters in them, and where the model's letters end.
+_MARKED = re.compile("[A-Za-z\u00c0-\u024f]*[\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][A-Za-z\u00c0-\u024f]*")
+_LAST = "\u024f"
+
+
+def pairs_of(word: str) -> list[str]:
+    """The pairs of neighbouring characters of a word, its ends included, that hold a letter beyond ASCII."""
+    marked = f"^{word.lower()}$"
+    return [marked[i : i + 2] for i in range(len(marked) - 1) if not marked[i : i + 2].isascii()]
+
+
+def letter_pairs(docs: DataFrame) -> dict[str, int]:
+    """In how many documents each pair of letters stands, for pairs of two documents or more. There are at most as many pairs
+    as the Latin letters up to U+024F allow (some 160 000), however large the corpus."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                if text and not text.isascii():
+                    counts.update({p for w in set(_MARKED.findall(text)) for p in pairs_of(w)})
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["pair", "n"])
+
+    counted = lean(docs, "text").mapInArrow(run, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return {r["pair"]: r["n"] for r in counted.filter("n >= 2").collect()}
+
+
+def turned_back(text: str, model: dict[str, int]) -> str | None:
+    """The text with the words turned back that the model finds clearly likelier under one pair of code pages, if any."""
+    words = [w for w in set(_MARKED.findall(text)) if not _SOUND.issuperset(w)]
+    if not words:
+        return None
+    weigh = lambda w: sum(log(model.get(p, 0) + 0.5) for p in pairs_of(w)) if all(c <= _LAST for c in w) else 0.0
+    best, gain = {}, 0.0
+    for read, written in SWAPPED:
+        page = _READ[read]
+        changed = {w: _swap(w, page, written) for w in words}
+        changed = {w: v for w, v in changed.items() if v != w and v.isalpha()}
+        if changed:
+            own = sum(weigh(v) - weigh(w) - log(0.5) * (len(pairs_of(v)) - len(pairs_of(w))) for w, v in changed.items())
+            if own > gain and own >= LIKELIER * len(changed) and len(changed) * 2 >= len(words):
+                best, gain = changed, own
+    return _MARKED.sub(lambda m: best.get(m[0], m[0]), text) if best else None
+
+
 _LINE = re.compile("[^\n]+")
 _TOKEN = re.compile("\\S+")
 
@@ -175,8 +228,9 @@ _ASCII_LETTERS = frozenset(map(chr, [*range(65, 91), *range(97, 123)]))
 _SOUND = frozenset(map(chr, range(128))) | _UPPER | _RUSSIAN | frozenset("äöüßéèêëàçîïôûùœæíóúñáãåøìò“”‘’«»–—…¿¡§\u00a0\u00ad¬\u2010\ufffd")
 
 
-def repair(text: str | None) -> tuple[bool, str | None, str]:
-    """(affected, restored, kind): whether the text bears traces of a wrong encoding, its repaired form, and which."""
+def repair(text: str | None, model: dict[str, int] | None = None) -> tuple[bool, str | None, str]:
+    """(affected, restored, kind): whether the text bears traces of a wrong encoding, its repaired form, and which. Unusual
+    letters are judged only with a ``model`` of the corpus."""
     if not text or text.isspace():
         return False, None, ""
     body = text.rstrip().rstrip("\ufffd")
@@ -211,6 +265,8 @@ def repair(text: str | None) -> tuple[bool, str | None, str]:
         return True, None, "lost"
     if _traces(text):
         return True, _unswap(text), "page"
+    if model and (turned := turned_back(text, model)) is not None:
+        return True, turned, "page"
     return False, None, ""
 
 
@@ -223,14 +279,16 @@ def repaired(text: str | None) -> str | None:
 def garbled(docs: DataFrame) -> DataFrame:
     """(doc_id, kind, restored) of the affected rows of ``docs`` (doc_id, text); documents that are junk as a whole are not
     garbled text."""
+    shared = docs.sparkSession.sparkContext.broadcast(letter_pairs(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quire.llm.quality import kind_of
 
+        model = shared.value
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                affected, restored, kind = repair(text)
+                affected, restored, kind = repair(text, model)
                 if affected and doc_id is not None and kind_of(restored if restored is not None else text) != "junk":
                     rows.append((doc_id, kind, restored))
             ids, kinds, texts = zip(*rows, strict=True) if rows else ((), (), ())
