@@ -148,6 +148,28 @@ def test_faults_of_a_document_are_the_same_in_a_larger_corpus(spark, monkeypatch
     assert small["rt$"] == pytest.approx(large["rt$"], rel=0.05) and large["rf$"] < 15
 
 
+def test_a_word_misread_ten_times_gives_ten_rows(spark):
+    common = [(k, f"The theory of knowledge guided the regatta number {k}. It was a patient theory, and the regatta guided it long before.") for k in range(100, 160)]
+    bad = "\n".join(f"It was a pafient theory in the year of {k}." for k in range(10))
+    for copies in (1, 3):
+        table = docs(spark, [(i + 1000 * c, t) for c in range(copies) for i, t in common] + [(1, bad)])
+        assert {tuple(r) for r in scans.found(table).filter("doc_id = 1").collect()} == {(1, k, "misread") for k in range(1, 11)}
+
+
+def test_the_chain_is_fitted_to_the_lines(spark):
+    pages = "\n".join(f"It seemed to them that the garden had been long before the\n\n{k}\n\nregatta of the town and that it was idle." for k in range(40, 46))
+    chain = scans.fit(docs(spark, [(k, pages) for k in range(30)]))
+    assert chain.seen and chain.step != scans.STEP
+    lines = pages.split("\n")
+    assert [k for k, s in enumerate(scans.furniture(lines, chain)) if s == scans.FURNITURE] == [k for k, line in enumerate(lines) if line.isdigit()]
+    seen, steps = scans.Chain().expected(scans.symbols(lines))
+    assert sum(seen.values()) == pytest.approx(len(lines)) and sum(steps.values()) == pytest.approx(len(lines) - 1)
+
+
+def test_a_corpus_without_lines_leaves_the_chain_as_it_was(spark):
+    assert scans.fit(docs(spark, [(1, "one line"), (2, None)])).seen == {}
+
+
 # --- 3 near duplicates
 
 
@@ -226,6 +248,28 @@ def test_tables_are_found_however_many_there_are(spark):
     assert got == {(k, "table") for k in range(40) if k % 5 < 2} | {(99, "table")}
 
 
+def test_the_bound_is_read_from_the_sketch():
+    assert quality.parted([0.0] * 60 + [0.1] * 10 + [0.9] * 10 + [1.0] * 120) == pytest.approx(0.5)
+    assert quality.parted([0.2] * 100 + [0.8] * 99) == pytest.approx(0.5) and quality.parted([0.05] * 50 + [0.75] * 149) == pytest.approx(0.4)
+    assert quality.parted([0.9] * 100 + [1.0] * 99) is None and quality.parted(None) is None and quality.parted([]) is None
+
+
+def test_sketches_decide_the_rows(spark):
+    half = PROSE * 3 + "\n" + "\n".join(f"{k}\t{k * 7}\tPlace {k}" for k in range(14))
+    rows = [(k, PROSE * (1 + k % 5)) for k in range(40)] + [(50 + k, "\n".join(f"{j}\t{j * k}\tPlace" for j in range(20))) for k in range(20)] + [(99, half)]
+    table = docs(spark, rows)
+    share = quality.statistics(table).filter("doc_id = 99").first()["prose_share"]
+    assert 0.5 < share < 0.9
+    own = {r[0] for r in quality.judged(table).filter("kind is not null").collect()}
+    assert own == set(range(50, 70))
+    levels = quality.sketched(quality.statistics(table)).collect()
+    names = [r["language"] for r in levels]
+    other = spark.createDataFrame([(n, [float(share - 0.3)] * 60 + [0.99] * 139, *[[float(k) for k in range(199)]] * 6) for n in names], "language string, q_prose_share array<double>, q_n_words array<double>, q_mean_word array<double>, q_symbol_ratio array<double>, q_digit_ratio array<double>, q_line_end_share array<double>, q_common_share array<double>")
+    moved = {r[0] for r in quality.judged(table, other).filter("kind is not null").collect()}
+    bound = (share - 0.3 + 0.99) / 2
+    assert moved == own | ({99} if share < bound else set())
+
+
 # --- 5 garbled
 
 
@@ -260,6 +304,28 @@ def test_swapped_utf16():
     assert garbled.repair(text.encode("utf-16-le").decode("utf-16-be"))[:2] == (True, text)
 
 
+SOUND = [
+    "The Czech name Jiří Dvořák and the town of Žďár are sound text, and so is Plzeň.", "Łódź leży w Polsce, a gęś i łąka są polskie.", "İstanbul'da ağaç, şehir ve çiçek güzel, ığdır da.",
+    "Țara și pădurea sînt românești, iar ţăranul şi brânza tot aşa.", "Η γλώσσα είναι ελληνική και το κείμενο σωστό.", "Győr és Pécs között őszi fű nő.", "Smørrebrød på Ærø, þorn og ðæt.",
+]
+
+
+def test_sound_texts_of_languages_the_corpus_lacks_stay(spark):
+    plain = "Après l’été, les reçus très chers ont troublé les idées. Für die Wünsche fand er keine größere Erklärung."
+    table = docs(spark, [(k, f"{plain} {k}") for k in range(60)] + [(100 + k, t) for k, t in enumerate(SOUND)])
+    assert garbled.garbled(table).filter("doc_id >= 100").collect() == []
+    assert all(garbled.repaired(t) == t for t in SOUND)
+
+
+def test_letters_of_another_page_are_told_by_the_corpus(spark):
+    plain = "Après l’été, les reçus très chers ont troublé les idées près du progrès."
+    bad = plain.replace("’", "'").encode("cp1252").decode("cp1250")
+    assert bad != plain and garbled.repair(bad)[0] is False
+    table = docs(spark, [(k, f"{plain} {k}") for k in range(300)] + [(1000, bad)])
+    got = {r["doc_id"]: r["restored"] for r in garbled.garbled(table).collect()}
+    assert got == {1000: plain.replace("’", "'")}
+
+
 # --- 6 subjects
 
 
@@ -330,6 +396,17 @@ def test_packing_keeps_every_item_and_the_capacity():
     assert packing.exchange(items, packing.best_fit(items, 1000), 1000) == bins
 
 
+def test_exchanges_empty_containers_that_best_fit_leaves():
+    """Sizes of which best fit, longest first, fills containers badly."""
+    sizes = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 40
+    items = [(s, k) for k, s in enumerate(sizes)]
+    before = packing.best_fit(items, 60)
+    after = packing.exchange(items, [list(b) for b in before], 60)
+    squares = lambda bins: sum(sum(items[i][0] for i in b) ** 2 for b in bins)
+    assert sorted(i for b in after for i in b) == list(range(len(items))) and all(sum(items[i][0] for i in b) <= 60 for b in after)
+    assert len(after) <= len(before) and squares(after) >= squares(before)
+
+
 def test_long_documents_alone_are_divided(spark):
     sized = spark.createDataFrame([(1, 25), (2, 10), (3, 4), (4, 0), (5, 6)], "doc_id long, n_tokens int")
     rows = packing.containers(sized, 1, 10).collect()
@@ -355,7 +432,7 @@ def test_groups_are_packed_again(spark):
     ("end", "want"),
     [
         ("the rumour before no", "open"), ("the rumour before ", "open"), ("the rumour before noon.", "closed"), ("before noon, and th [truncated]", "marked"), ("before noon…", "marked"), ("noon.\n\nTHE END", "closed"),
-        ("noon.\n\nKornamovale, 1853", "named"), ("noon.\n\nSee also p. 8", "closed"), ("noon.\n\nYours faithfully,\nUndbapiund", "named"), ("noon.\n\nFew people now", "open"), ("noon.\n\n[Plate 6]", "closed"), ("caf�", "marked"), (None, "closed"), (" ", "closed"),
+        ("noon.\n\nKornamovale, 1853", "named"), ("noon.\n\nSee also p. 8", "closed"), ("noon.\n\nYours faithfully,\nUndbapiund", "named"), ("noon.\n\nFew people now", "loose"), ("noon.\n\n[Plate 6]", "closed"), ("caf�", "marked"), (None, "closed"), (" ", "closed"),
     ],
 )
 def test_endings(end, want):
@@ -369,6 +446,32 @@ def test_field_limits_are_found(spark):
     assert truncation.found(docs(spark, rows)).filter("doc_id >= 1000").count() >= 38
 
 
+def named_ends(spark):
+    """Complete texts of many lengths, forty cut at 1 000 characters in mid-sentence, and two that end in a name: one at that length."""
+    rows = [(k, (PROSE * 30)[: 400 + k * 13 % 900] + ".") for k in range(300)] + [(1000 + k, f"{k:03d} " + (PROSE * 30)[k : k + 996]) for k in range(40)]
+    tail = ".\n\nKornamovale"
+    return docs(spark, [*rows, (2000, (PROSE * 30)[: 1000 - len(tail)] + tail), (2001, (PROSE * 30)[: 777 - len(tail)] + tail)])
+
+
+def test_hazards_decide_doubtful_endings(spark):
+    table = named_ends(spark)
+    found = {r["doc_id"] for r in truncation.judged(table).filter("truncated").collect()}
+    assert 2000 in found and 2001 not in found
+    none = spark.createDataFrame([], "source string, unit string, length long, n long, expected double, p_value double")
+    assert 2000 not in {r["doc_id"] for r in truncation.judged(table, none).filter("truncated").collect()}
+
+
+def test_closed_texts_that_fill_a_field_stay(spark):
+    rows = [(k, (PROSE * 30)[: 400 + k * 13 % 900] + ".") for k in range(300)] + [(1000 + k, f"{k:03d} " + (PROSE * 30)[k : k + 996]) for k in range(40)] + [(2000 + k, f"{k:03d} " + (PROSE * 30)[k : k + 995] + ".") for k in range(10)]
+    found = {r["doc_id"] for r in truncation.found(docs(spark, rows)).collect()}
+    assert not found & set(range(2000, 2010)) and len(found & set(range(1000, 1040))) >= 38
+
+
+def test_endings_without_evidence_are_the_priors():
+    cut_share, whole, rate, true = truncation.endings_by_evidence({})
+    assert cut_share["open"] == pytest.approx(0.9, abs=0.01) and whole["closed"] > 0.98 and rate <= 1e-3 and true == 1.0
+
+
 def test_every_query_runs_on_the_smallest_tables(spark):
     for name, query in llm.queries().items():
         if name not in ("p6_composition", "p1_matches"):
