@@ -2,7 +2,7 @@
 
 The documents that a specification selects are measured in tokens of a public tokenizer. A document longer than the capacity
 is the only one that is divided: into full containers and one rest, which is packed like a document. Items are dealt by a hash
-of their order key into groups of a bounded number of items, and each group is packed by itself: first each item into the
+of their id into groups of a bounded number of items (the order of a specification is that of its texts, not of its containers), and each group is packed by itself: first each item into the
 fullest container it fits, then exchanges one for one and two for one and moves between underfull containers, each raising the sum
 of squared fills, until containers run empty and no exchange helps. What the group's search leaves in its underfull containers is pooled
 and packed again in the next round with half as many groups at most, so that the unused space of the groups' last
@@ -75,43 +75,29 @@ def exchange(items: list[tuple[int, int]], bins: list[list[int]], capacity: int,
     """The containers after moves and exchanges (one for one, two for one) between underfull ones.
 
     A step is taken where it raises the sum of squared fills, that is where it fills the fuller of two containers further: the
-    emptier one drains. The partners of a container are found by bisection over the sizes in the containers
-    less full than itself."""
+    emptier one drains. Containers are worked on from the fullest down, each with the items of all that are less full in one
+    sorted list, so the best partner of every item and of every pair of a container is found by bisection, and none is left
+    untried. Items of one size stand for one another."""
     size = [s for s, _ in items]
     fill = [sum(size[i] for i in b) for b in bins]
     for _ in range(passes):
         open_bins = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: (-fill[b], b))
         if len(open_bins) < 2:
             break
-        # the items of the open containers by size; those of a container at work leave the list
-        pool = sorted((size[i], i, b) for b in open_bins for i in bins[b])
-        home = {i: b for _, i, b in pool}
-        sizes = [p[0] for p in pool]
-        rank = {b: r for r, b in enumerate(open_bins)}
+        pool = sorted((size[i], i) for b in open_bins for i in bins[b])
+        home = {i: b for b in open_bins for i in bins[b]}
         steps = 0
         for b in open_bins:
+            for i in bins[b]:
+                del pool[bisect_left(pool, (size[i], i))]
             gap = capacity - fill[b]
-            while gap > 0 and bins[b]:
-                step = None
-                # move one item in, the largest that fits, from a container less full
-                step = _partner(pool, sizes, home, rank, b, gap, 0, None)
-                if step is None or step[0] < gap:
-                    for i in sorted(bins[b], key=lambda i: size[i])[:24]:
-                        other = _partner(pool, sizes, home, rank, b, gap + size[i], size[i], i)
-                        if other and (step is None or other[0] > step[0]):
-                            step = other
-                    small = sorted(bins[b], key=lambda i: size[i])[:8]
-                    for x, i in enumerate(small):
-                        for j in small[x + 1 :]:
-                            both = size[i] + size[j]
-                            other = _partner(pool, sizes, home, rank, b, gap + both, both, (i, j))
-                            if other and (step is None or other[0] > step[0]):
-                                step = other
-                if step is None or step[0] <= 0:
+            while gap > 0 and bins[b] and pool:
+                step = _best_step(pool, gap, {size[i]: i for i in bins[b]}, size, bins[b])
+                if step is None:
                     break
-                gain, come, go = step
+                gain, at, leaving = step
+                come = pool.pop(at)[1]
                 c = home[come]
-                leaving = () if go is None else go if isinstance(go, tuple) else (go,)
                 bins[c].remove(come)
                 bins[b].append(come)
                 home[come] = b
@@ -119,6 +105,7 @@ def exchange(items: list[tuple[int, int]], bins: list[list[int]], capacity: int,
                     bins[b].remove(i)
                     bins[c].append(i)
                     home[i] = c
+                    insort(pool, (size[i], i))
                 fill[b] += gain
                 fill[c] -= gain
                 gap -= gain
@@ -128,18 +115,32 @@ def exchange(items: list[tuple[int, int]], bins: list[list[int]], capacity: int,
     return [b for b in bins if b]
 
 
-def _partner(pool, sizes, home, rank, b: int, most: int, least: int, go):
-    """(gain, item, what goes back): the largest item of a less full container with least < size <= most."""
-    at = bisect_left(sizes, most + 1) - 1
-    tries = 0
-    while at >= 0 and sizes[at] > least and tries < 40:
-        i = pool[at][1]
-        c = home[i]
-        if c != b and rank[c] > rank[b]:
-            return sizes[at] - least, i, go
-        at -= 1
-        tries += 1
-    return None
+def _best_step(pool: list[tuple[int, int]], gap: int, own: dict[int, int], size: list[int], members: list[int]) -> tuple[int, int, tuple[int, ...]] | None:
+    """(gain, place of the item that comes, items that go back): the step that fills the gap most, if any gains. ``own`` has one
+    item for each size of the container."""
+    best: tuple[int, int, tuple[int, ...]] | None = None
+
+    def tried(back: int, leaving: tuple[int, ...]) -> bool:
+        nonlocal best
+        at = bisect_left(pool, (gap + back + 1, -1)) - 1
+        if at >= 0 and pool[at][0] - back > (best[0] if best else 0):
+            best = (pool[at][0] - back, at, leaving)
+        return best is not None and best[0] == gap
+
+    if tried(0, ()):
+        return best
+    for s, i in own.items():
+        if tried(s, (i,)):
+            return best
+    sizes = sorted(own)
+    twice = {size[i]: i for i in members if own[size[i]] != i}
+    for k, x in enumerate(sizes):
+        if x in twice and tried(2 * x, (own[x], twice[x])):
+            return best
+        for y in sizes[k + 1 :]:
+            if tried(x + y, (own[x], own[y])):
+                return best
+    return best
 
 
 def pack(items: list[tuple[int, int]], capacity: int) -> list[list[int]]:
@@ -171,12 +172,11 @@ def containers(sized: DataFrame, spec_id: int, capacity: int, group: int = GROUP
             rows = frame.sort_values(["doc_id", "part"])
             items = list(zip(rows["tokens"].tolist(), range(len(rows)), strict=True))
             out = []
+            ids, parts = rows["doc_id"].tolist(), rows["part"].tolist()
             for number, bin_ in enumerate(pack(items, capacity)):
                 fill = sum(items[i][0] for i in bin_)
                 name = f"{spec_id}-{rounds}-{key[0]}-{number}" if last or fill >= FULL * capacity else None  # noqa: B023
-                for position, i in enumerate(sorted(bin_)):
-                    row = rows.iloc[i]
-                    out.append((spec_id, name, int(row["doc_id"]), int(row["part"]), int(row["tokens"]), position))
+                out += [(spec_id, name, ids[i], parts[i], items[i][0], position) for position, i in enumerate(sorted(bin_))]
             return pd.DataFrame(out, columns=["spec_id", "container", "doc_id", "part", "tokens", "position"])
 
         slot = F.pmod(F.xxhash64("doc_id", "part", F.lit(rounds)), F.lit(groups))
@@ -203,8 +203,9 @@ def _as_packed(rows: DataFrame, spec_id: int, capacity: int, groups: int) -> Dat
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         rows = frame.sort_values(["doc_id", "part"])
         items = list(zip(rows["tokens"].tolist(), range(len(rows)), strict=True))
+        ids, parts = rows["doc_id"].tolist(), rows["part"].tolist()
         out = [
-            (spec_id, f"{spec_id}-l-{key[0]}-{number}", int(rows.iloc[i]["doc_id"]), int(rows.iloc[i]["part"]), items[i][0], position)
+            (spec_id, f"{spec_id}-l-{key[0]}-{number}", ids[i], parts[i], items[i][0], position)
             for number, bin_ in enumerate(pack(items, capacity))
             for position, i in enumerate(sorted(bin_))
         ]

@@ -47,5 +47,15 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: Documents that count for problem 3 with their distinct runs of three words, and the share of them that two documents have in common.
+RUNS = """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\x0b\\f]+'), lambda x: x <> '') ws FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+  k AS (SELECT DISTINCT doc_id, ws, array_to_string(ws, ' ') whole FROM w WHERE len(ws) >= 30), e AS (SELECT doc_id, ws, min(doc_id) OVER (PARTITION BY whole) rep FROM k),
+  s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) g FROM e WHERE {only}), n AS (SELECT doc_id, count(*) n FROM s GROUP BY 1),
+  c AS (SELECT a.doc_id a, b.doc_id b, count(*) m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2), p AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE m >= 0.5 * (x.n + y.n - m))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p3_found": RUNS.format(only="true") + " SELECT a AS doc_id_a, b AS doc_id_b FROM p",
+        "p3_groups": RUNS.format(only="doc_id = rep") + ", l AS (SELECT d, count(*) n FROM (SELECT a d FROM p UNION ALL SELECT b FROM p) GROUP BY 1) SELECT e.doc_id, e.rep AS class_id, count(*) OVER (PARTITION BY e.rep) AS copies, coalesce(l.n, 0) AS links FROM e LEFT JOIN l ON l.d = e.rep",
+    }
