@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.catalog import latest
+from quire.session import cut
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: list[str], seq: str) -> DataFrame:
@@ -54,9 +55,15 @@ def expire(downloads: DataFrame, now: str, hours: int = 2) -> DataFrame:
 
 
 def batches(df: DataFrame, key: str, size: int, within: str) -> DataFrame:
-    """(…, batch): rows of each ``within`` in fixed-size chunks by key."""
-    n = F.row_number().over(Window.partitionBy(within).orderBy(key))
-    return df.withColumn("batch", F.floor((n - 1) / size))
+    """(…, batch): rows of each ``within`` in fixed-size chunks by key. Rows are laid out by range and numbered within each partition;
+    a ``within`` that holds a third of all rows spans many partitions, whose counts (a row for each) shift the numbers."""
+    laid = cut(df.repartitionByRange(within, key).sortWithinPartitions(within, key).withColumn("_part", F.spark_partition_id()))
+    n = F.row_number().over(Window.partitionBy("_part", within).orderBy(key))
+    counts = laid.groupBy("_part", within).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = counts.select(F.col("_part").alias("_p"), F.col(within).alias("_w"), before.alias("_before"))
+    joined = laid.withColumn("_n", n).join(shifts, (F.col("_part") == F.col("_p")) & F.col(within).eqNullSafe(F.col("_w")))
+    return joined.withColumn("batch", F.floor((F.col("_n") + F.col("_before") - 1) / size)).drop("_part", "_n", "_p", "_w", "_before")
 
 
 def budget_prefix(entries: DataFrame, group: str, order: str, cost: str, budget: int) -> DataFrame:
