@@ -21,6 +21,8 @@ def listed(values) -> str:
 
 
 SPACE = "regexp_replace({}, '[ \\t\\r\\n\\f]+', ' ', 'g')"
+#: Blanks of all kinds, which the parsers of pages and feeds take for one.
+ANY_SPACE = "regexp_replace({}, '[\\s\\x0b\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+', ' ', 'g')"
 PICKED = f"SELECT work_id, file_id, site, format FROM (SELECT *, {BEST} FROM {{}} WHERE {RUNS}) WHERE rn = 1"
 LOW = "coalesce(nullif(trim(regexp_replace(lower(coalesce({0}, '')), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'uncategorized')"
 VALID = f"""(low IN ({listed(T.STATIC)}) OR (length(low) BETWEEN 4 AND 48 AND regexp_matches(low, '^[a-z]+(_[a-z]+){{0,2}}$') AND len(list_filter(string_split(low, '_'), lambda p: length(p) < 4 OR p IN ({listed(T.NOT_WORDS)}))) = 0
@@ -95,7 +97,7 @@ def _preprints(c: Catalog) -> DataFrame:
     return c.works.select(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), entry, F.lit("</feed>")).alias("xml"))
 
 
-FEEDROWS = f"""WITH r AS (SELECT f.id, f.site, trim({SPACE.format("coalesce(w.title, '')")}, ' ') t, trim({SPACE.format("coalesce(w.author, '')")}, ' ') a, trim(coalesce(f.url, ''), ' ') u FROM files f JOIN works w ON w.id = f.work_id WHERE f.site IS NOT NULL)"""
+FEEDROWS = f"""WITH r AS (SELECT f.id, f.site, trim({ANY_SPACE.format("coalesce(w.title, '')")}, ' ') t, trim({ANY_SPACE.format("coalesce(w.author, '')")}, ' ') a, trim(coalesce(f.url, ''), ' ') u FROM files f JOIN works w ON w.id = f.work_id WHERE f.site IS NOT NULL)"""
 FEEDSQL = FEEDROWS + """ SELECT 'https://' || site || '/feed#f' || id::VARCHAR AS id, t AS title, CASE WHEN a = '' THEN site ELSE a END AS author, u AS link, coalesce(nullif(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)), ''), site) AS site,
   CASE WHEN ends_with(p, '.pdf') THEN 'PDF' WHEN ends_with(p, '.epub') THEN 'EPUB' WHEN ends_with(p, '.txt') OR ends_with(p, '.text') THEN 'Text' ELSE 'HTML' END AS format FROM (SELECT *, lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) p FROM r WHERE t <> '' AND u <> '')"""
 
@@ -333,8 +335,8 @@ ENTRIES: dict[str, Entry] = {
     # --- pages and feeds
     "page_links": (lambda c: pages.page_links(_pages(c)).select("page_url", "link", "format", "site"), f"""WITH u AS (SELECT work_id, replace({EFF}, ' ', '%20') l FROM files WHERE url IS NOT NULL), v AS (SELECT DISTINCT 'https://pages.example.org/' || work_id::VARCHAR AS page_url, regexp_replace(CASE WHEN l = '' THEN 'https://pages.example.org/' || work_id::VARCHAR ELSE l END, '#.*$', '') AS link FROM u JOIN works w ON w.id = work_id WHERE w.title IS NOT NULL), p AS (SELECT *, lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) pa FROM v WHERE regexp_matches(link, '^https?://[^/:?#]+'))
       SELECT page_url, link, format, lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS site FROM (SELECT *, CASE {" ".join(f"WHEN ends_with(pa, '{s}') THEN '{n}'" for s, n in U.SUFFIXES)} END AS format FROM p) WHERE format IS NOT NULL AND format <> 'HTML'"""),
-    "page_metadata": (lambda c: pages.page_metadata(_pages(c)).select("page_url", "title", "author"), f"SELECT 'https://pages.example.org/' || id::VARCHAR AS page_url, CASE WHEN trim({SPACE.format('title')}, ' ') = '' THEN 'Site' ELSE trim({SPACE.format('title')}, ' ') END AS title, nullif(trim({SPACE.format("coalesce(author, '')")}, ' '), '') AS author FROM works WHERE title IS NOT NULL AND id IN (SELECT work_id FROM files WHERE url IS NOT NULL)"),
-    "clean_html": (lambda c: pages.page_text(_pages(c)).select("page_url", (~F.contains("text", F.lit("Home Search")) & ~F.contains("text", F.lit("var x"))).alias("clean"), F.regexp_count("text", F.lit(" file")).alias("links")), f"SELECT 'https://pages.example.org/' || w.id::VARCHAR AS page_url, true AS clean, (count(f.id) + any_value(len(regexp_extract_all(trim({SPACE.format('w.title')}, ' ') || chr(10) || coalesce(w.search_query, ''), ' file'))))::INT AS links FROM works w JOIN files f ON f.work_id = w.id WHERE w.title IS NOT NULL AND f.url IS NOT NULL GROUP BY 1"),
+    "page_metadata": (lambda c: pages.page_metadata(_pages(c)).select("page_url", "title", "author"), f"SELECT 'https://pages.example.org/' || id::VARCHAR AS page_url, CASE WHEN trim({ANY_SPACE.format('title')}, ' ') = '' THEN 'Site' ELSE trim({ANY_SPACE.format('title')}, ' ') END AS title, nullif(trim({ANY_SPACE.format("coalesce(author, '')")}, ' '), '') AS author FROM works WHERE title IS NOT NULL AND id IN (SELECT work_id FROM files WHERE url IS NOT NULL)"),
+    "clean_html": (lambda c: pages.page_text(_pages(c)).select("page_url", (~F.contains("text", F.lit("Home Search")) & ~F.contains("text", F.lit("var x"))).alias("clean"), F.regexp_count("text", F.lit(" file")).alias("links")), f"SELECT 'https://pages.example.org/' || w.id::VARCHAR AS page_url, true AS clean, (count(f.id) + any_value(len(regexp_extract_all(trim({ANY_SPACE.format('w.title')}, ' ') || chr(10) || coalesce(w.search_query, ''), ' file'))))::INT AS links FROM works w JOIN files f ON f.work_id = w.id WHERE w.title IS NOT NULL AND f.url IS NOT NULL GROUP BY 1"),
     "filter_mirror_links": (lambda c: pages.filter_mirrors(_mirrors(c), "x.mirror.example"),
       """WITH m AS (SELECT work_id::VARCHAR AS page_url, CASE id % 4 WHEN 0 THEN 'https://x.mirror.example/slow_download/' || id::VARCHAR WHEN 2 THEN 'https://x.mirror.example/fast_download/' || id::VARCHAR ELSE url END AS link, CASE WHEN id % 8 = 0 THEN 'Waitlist' ELSE 'Server' END AS label, id % 4 <> 3 own, id % 4 = 0 AND id % 8 <> 0 slow FROM files WHERE url IS NOT NULL AND id % 4 <> 1), s AS (SELECT DISTINCT page_url FROM m WHERE slow)
       SELECT page_url, link, label FROM m WHERE slow OR NOT own OR page_url NOT IN (SELECT page_url FROM s WHERE page_url IS NOT NULL)"""),
@@ -343,7 +345,7 @@ ENTRIES: dict[str, Entry] = {
       SELECT page_url, place::INT AS place, link FROM (SELECT page_url, link, row_number() OVER (PARTITION BY page_url ORDER BY i) AS place FROM r WHERE regexp_matches(link, '^https?://[^/:?#]+') AND contains(lower(link), 'stacks')) WHERE place <= 10"""),
     "parse_rss": (lambda c: pages.feed_rows(_feeds(c, "rss")).select("id", "title", "author", "link", "site", "format"), FEEDSQL),
     "parse_atom": (lambda c: pages.feed_rows(_feeds(c, "atom")).select("id", "title", "author", "link", "site", "format"), FEEDSQL),
-    "parse_preprints": (lambda c: pages.preprint_rows(_preprints(c)), f"SELECT trim({SPACE.format('title')}, ' ') AS title, CASE WHEN trim(coalesce(author, ''), ' ') = '' THEN 'B. Second' ELSE trim({SPACE.format('author')}, ' ') || ', B. Second' END AS author, trim('s ' || {SPACE.format("coalesce(search_query, '')")}, ' ') AS summary, 'http://p.example.org/abs/' || id::VARCHAR AS detail_url, CASE WHEN id % 2 = 0 THEN 'http://p.example.org/x.pdf' ELSE 'http://p.example.org/pdf/' || id::VARCHAR END AS link FROM works WHERE trim(coalesce(title, ''), ' ') <> ''"),
+    "parse_preprints": (lambda c: pages.preprint_rows(_preprints(c)), f"SELECT trim({ANY_SPACE.format('title')}, ' ') AS title, CASE WHEN trim(coalesce(author, ''), ' ') = '' THEN 'B. Second' ELSE trim({ANY_SPACE.format('author')}, ' ') || ', B. Second' END AS author, trim('s ' || {ANY_SPACE.format("coalesce(search_query, '')")}, ' ') AS summary, 'http://p.example.org/abs/' || id::VARCHAR AS detail_url, CASE WHEN id % 2 = 0 THEN 'http://p.example.org/x.pdf' ELSE 'http://p.example.org/pdf/' || id::VARCHAR END AS link FROM works WHERE trim(coalesce(title, ''), ' ') <> ''"),
     "parse_publication": (lambda c: pages.publication_rows(_feeds(c, "rss")).select("feed_url", "title", "link", "site"), FEEDROWS + " SELECT 'https://' || site || '/feed' AS feed_url, t AS title, u AS link, site FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY id) n FROM r WHERE t <> '' AND u <> '') WHERE n <= 10"),
     "feed_summary": (lambda c: pages.feed_summary(c.files.filter("site is not null").select(F.col("site").alias("feed_url"), F.col("id").cast("string").alias("id"), F.col("id").alias("place")), c.files.filter("id % 3 = 0").select(F.col("site").alias("feed_url"), F.col("id").cast("string").alias("id")), limit=30), "WITH f AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY id) n FROM files WHERE site IS NOT NULL) SELECT site AS feed_url, count(*) AS items, count(*) FILTER (id % 3 = 0) AS seen, count(*) FILTER (id % 3 <> 0) AS archived, 0::BIGINT AS skipped FROM f WHERE n <= 30 GROUP BY 1"),
     "parse_post_json": (lambda c: pages.post_rows(_posts(c), "posts.example.org"), f"SELECT id AS answer, CASE WHEN coalesce(title, '') = '' THEN id::VARCHAR ELSE trim({SPACE.format('title')}, ' ') END AS title, author, 'https://a.posts.example.org/p/' || id::VARCHAR AS link FROM works UNION ALL SELECT id, CASE WHEN coalesce(title, '') = '' THEN 's ' || id::VARCHAR ELSE trim({SPACE.format('title')}, ' ') END, author, 'https://letters.posts.example.org/p/s-' || id::VARCHAR FROM works"),
