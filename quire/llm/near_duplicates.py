@@ -10,11 +10,11 @@ The search is certain for vectors, not for texts: a coordinate agrees with the p
 found with the probability 0.992 at a similarity of 0.50, 0.996 at 0.52, 0.998 at 0.55 and 0.9997 at 0.60.
 
 Equal word sequences are one class with one representative; only representatives are hashed. The rows of a key are counted
-with partial sums before any shuffle, so no key is hot there. Buckets of two give their pair from the fixed-width sums; only
-the keys of larger ones go on, picked by a bitmap before the shuffle, and those above ``BLOCK`` rows are dealt by a salt and
-joined block by block, so that no bucket is ever held by one task and none is cut short. Candidates are weighed by the coordinates of both texts
-before the texts are fetched: a pair that agrees on fewer than ``AGREE`` of 49 has a similarity of 0.5 with a
-probability below 0.0003. What is left is checked exactly on whole texts.
+with partial sums before any shuffle, so no key is hot there. Only the rows of keys that stand twice go on, picked by a bitmap
+before the shuffle, and those above ``BLOCK`` rows are dealt by a salt and joined block by block, so that no bucket is ever
+held by one task and none is cut short. Rows carry the last six bits of each coordinate, and pairs that agree on fewer than ``AGREE``
+of 49 are dropped in the join itself, for a pair of that kind has a similarity of 0.5 with a probability below 0.0003; the same is asked
+of the full coordinates before the texts are fetched. What is left is checked exactly on whole texts.
 
 Defined cases: null, empty and short texts (fewer than ``MIN_WORDS`` words) belong to no class and have no pair; repeated
 rows of one doc_id count once; ties do not arise, as ids order the pairs; extra columns are ignored.
@@ -43,6 +43,10 @@ SALTS = 64
 COPIES = 256
 #: Coordinates that two texts must agree on to be compared, at a similarity of one half (24.5 of 49 on average, spread 3.5).
 AGREE = 13
+#: The sketch that goes with a key: the last bits of each coordinate, so many to a long.
+LANE = 6
+LANES = 10
+SKETCH = ("l0", "l1", "l2", "l3", "l4")
 #: Most bits of a bitmap sent to all tasks (64 MB); a smaller one has eight bits for each value.
 FILTER_BITS = 29
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -107,11 +111,20 @@ def _coordinates(text_words: list[list[bytes]]) -> np.ndarray:
         v ^= v >> np.uint64(32)
         v *= _MIX[1]
         signature[:, k] = np.minimum.reduceat(v, begin)
-    return (signature >> np.uint64(48)).astype(np.uint16)
+    # a minimum is small, the more so the longer the text: its leading bits say little, so it is mixed before it is shortened
+    return ((signature ^ (signature >> np.uint64(31))) * _MIX[2] >> np.uint64(48)).astype(np.uint16)
+
+
+def sketch(signature: np.ndarray) -> list[np.ndarray]:
+    """The last ``LANE`` bits of the coordinates of each row, ``LANES`` to a long."""
+    out = [np.zeros(len(signature), np.int64) for _ in SKETCH]
+    for k in range(signature.shape[1]):
+        out[k // LANES] |= (signature[:, k] & np.uint16(2**LANE - 1)).astype(np.int64) << (LANE * (k % LANES))
+    return out
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, low, high, sig): the digest of the word sequence and the coordinates of each document that counts."""
+    """(doc_id, low, high, sig, l0 to l4): the digest of the word sequence, the coordinates and their sketch of each document that counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,9 +142,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                 if ids:
                     sig = _coordinates(words)
                     lists = pa.array([row.tobytes() for row in sig], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), lists], ["doc_id", "low", "high", "sig"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), lists, *map(pa.array, sketch(sig))], ["doc_id", "low", "high", "sig", *SKETCH])
 
-    return lean(docs, "doc_id", "text").mapInArrow(run, "doc_id long, low long, high long, sig binary")
+    return lean(docs, "doc_id", "text").mapInArrow(run, "doc_id long, low long, high long, sig binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def table_keys(column: str) -> list[Column]:
@@ -139,25 +152,39 @@ def table_keys(column: str) -> list[Column]:
     return [F.xxhash64(F.lit(g * 64 + m), *[F.substring(column, 2 * (g * WIDTH + i) + 1, 2) for i in mask]) for g in range(GROUPS) for m, mask in enumerate(masks())]
 
 
-def candidates(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b) with a < b: the pairs of ids that share a key in ``rows`` (id, key), each once."""
-    sizes = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n > 1 and a < b"))
-    twos = sizes.filter("n = 2").select("a", "b")
-    middle = sizes.filter((F.col("n") > 2) & (F.col("n") <= block)).select("key")
-    own = cut(among(rows, middle, "key").join(middle, "key"))
-    pairs = own.alias("x").join(own.alias("y"), "key").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def differing() -> Column:
+    """How many of the lanes of x and y differ: a lane that is not zero after the exclusive or carries into its highest bit."""
+    low, high = (sum(bit << LANE * i for i in range(LANES)) for bit in (2 ** (LANE - 1) - 1, 2 ** (LANE - 1)))
+
+    def longs(c: str) -> Column:
+        v = F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))
+        return F.bit_count((v.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(v).bitwiseAND(F.lit(high)))
+
+    return sum((longs(c) for c in SKETCH[1:]), longs(SKETCH[0]))
+
+
+def candidates(rows: DataFrame, block: int = BLOCK, agree: int = 0) -> DataFrame:
+    """(a, b) with a < b: the pairs of ids that share a key in ``rows`` (id, key), each once. With ``agree``, ``rows`` have the columns
+    ``SKETCH`` too, and pairs that agree on fewer coordinates are left out where they meet: texts that are alike in a
+    few phrases share keys in a number that is quadratic in the corpus, and none of these pairs is written anywhere."""
+    lanes = [c for c in SKETCH if agree]
+    apart = F.lit(True) if not agree else differing() <= GROUPS * WIDTH - agree
+    sizes = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    middle = sizes.filter(F.col("n") <= block).select("key")
+    own = among(rows, middle, "key").join(middle, "key")  # the same exchange serves both sides
+    met = lambda x, y, on: x.alias("x").join(y.alias("y"), on).filter(F.col("x.id") < F.col("y.id")).filter(apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    pairs = met(own, own, "key")
     large = sizes.filter(F.col("n") > block).select("key", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"))
     if large.isEmpty():
-        return twos.union(pairs).distinct()
+        return pairs.distinct()
     # each row of a large bucket meets every block once: as the left side in (own, j) and as the right side in (i, own)
     salt = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SALTS)).cast("int")
     dealt = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    placed = cut(among(rows, large, "key").withColumn("salt", salt).join(dealt, ["key", "salt"]).select("id", "key", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own")))
+    placed = cut(among(rows, large, "key").withColumn("salt", salt).join(dealt, ["key", "salt"]).select("id", "key", *lanes, "blocks", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own")))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = placed.select("id", "key", "own", every.alias("other"))
-    right = placed.select(F.col("id").alias("b"), "key", F.col("own").alias("other"), every.alias("own"))
-    many = left.join(right, ["key", "own", "other"]).filter("id < b").select(F.col("id").alias("a"), "b")
-    return twos.union(pairs).union(many).distinct()
+    left = placed.select("id", "key", *lanes, "own", every.alias("other"))
+    right = placed.select("id", "key", *lanes, F.col("own").alias("other"), every.alias("own"))
+    return pairs.union(met(left, right, ["key", "own", "other"])).distinct()
 
 
 def among(rows: DataFrame, wanted: DataFrame, column: str, most_bits: int = FILTER_BITS) -> DataFrame:
@@ -211,10 +238,10 @@ def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
 def link(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The pairs (a, b, similarity) of class representatives, and the classes (doc_id, rep)."""
     signed = cut(signatures(docs))
-    chosen = cut(signed.groupBy("low", "high").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
+    chosen = cut(signed.groupBy("low", "high").agg(F.min("doc_id").alias("id"), F.first(F.struct("sig", *SKETCH)).alias("s")).select("low", "high", "id", "s.*"))
     members = signed.select("doc_id", "low", "high").join(chosen.select("low", "high", F.col("id").alias("rep")), ["low", "high"]).select("doc_id", "rep").distinct()
-    rows = chosen.select("id", F.explode(F.array(*table_keys("sig"))).alias("key"))
-    close = cut(likely(candidates(rows, block), chosen))
+    rows = chosen.select("id", *SKETCH, F.explode(F.array(*table_keys("sig"))).alias("key"))
+    close = cut(likely(candidates(rows, block, AGREE), chosen))
     pairs = cut(_checked(close, docs, threshold))
     return pairs, members
 

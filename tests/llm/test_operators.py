@@ -186,6 +186,27 @@ def test_masks_cover_every_two_differences():
     assert sum(covered(x) for x in itertools.combinations(range(7), 3)) == 28
 
 
+def test_near_duplicate_candidates_agree_where_they_meet(spark):
+    import numpy as np
+
+    # of the seven coordinates of one group, three are shared by all: their key brings together any two
+    rng = np.random.default_rng(1)
+    sig = rng.integers(0, 2**16, (60, 49)).astype(np.uint16)
+    sig[:, :3] = 7
+    sig[1, :30] = sig[0, :30]
+    lanes = [c.tolist() for c in near_duplicates.sketch(sig)]
+    rows = spark.createDataFrame([(i, 1, *own) for i, own in enumerate(zip(*lanes, strict=True))], "id long, key long, " + ", ".join(f"{c} long" for c in near_duplicates.SKETCH))
+    last = sig & 63
+    for least in (3, 8, 30):
+        want = {(a, b) for a in range(60) for b in range(a + 1, 60) if (last[a] == last[b]).sum() >= least}
+        assert want and (len(want) == 1 or least < 30)
+        for block in (7, 512):
+            assert {tuple(r) for r in near_duplicates.candidates(rows, block, least).collect()} == want
+    # the coordinates of a long text are as evenly spread as those of a short one
+    long = near_duplicates._coordinates([[str(i).encode() for i in range(20_000)]])
+    assert long.max() > 2**15 and len(set(long.ravel().tolist())) > 45
+
+
 def test_near_duplicates_equal_brute_force(spark):
     table = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
