@@ -3,8 +3,9 @@
 Lines are labelled by a linear chain over four states (text, heading, furniture, break) whose emission scores come from layout
 features: page-number and signature shapes, capitals, numbers at either end, repetition over the document, the run of chapter
 numbers, and whether the line breaks into a sentence. The features of a line make its symbol; the chain is a hidden Markov model
-over symbols, fitted by expectation and maximisation from scores given beforehand on a sample of some ``SAMPLE`` documents (by a
-hash of their ids; twice as many at most), whose expected counts are summed over the partitions. Words divided by the layout and words with letters taken for others that
+over symbols, fitted by expectation and maximisation from scores given beforehand on all documents: a line whose state is plain
+parts what lies before it from what comes after, so the few distinct stretches between such lines are counted where the words
+are, and the expected counts of each are taken once and weighed by its number. Words divided by the layout and words with letters taken for others that
 look alike are decided with the corpus' own vocabulary: a first pass counts in how many documents each word stands, and keeps
 those in at least ``SHARE`` of the documents. As a document holds a bounded number of distinct words on average, at most that
 number divided by ``SHARE`` words are kept, however large the corpus, so the vocabulary may be sent to every task; the counts of
@@ -39,8 +40,7 @@ MISREAD = (
     ("rn", "m"), ("q", "g"), ("v", "y"), ("vv", "w"), ("l", "i"), ("6", "б"), ("0", "о"), ("3", "з"), ("н", "и"), ("и", "н"),
     ("п", "и"), ("щ", "ш"), ("ш", "щ"), ("ъ", "ь"), ("с", "е"), ("е", "с"), ("о", "с"), ("1", "i"), ("m", "rn"),
 )
-#: Documents that the chain is fitted on, rounds of the fit, and the lines of each symbol that the scores before the fit weigh.
-SAMPLE = 1_500
+#: Rounds of the fit, and the lines of each symbol that the scores before the fit weigh.
 ROUNDS = 2
 PRIOR = 50.0
 #: A form that stands so often in a document is repeated; it is misread where the meant word stands in a share of the
@@ -50,6 +50,7 @@ REPEATED = 1e-4
 #: Distinct names that the counts of letter triples are for; a corpus with more has its counts scaled down to them.
 NAMES = 28_000
 HYPHENS = "-‐¬\xad"
+_HYPHENS = frozenset(HYPHENS)
 _WORD = re.compile(r"[^\W_]+(?:[’'-][^\W_]+)*")
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]{3,}$")
 _SPLIT = re.compile(f"[^\\W\\d_][{HYPHENS}][ \\t\\r]*$")
@@ -57,37 +58,49 @@ _SPLIT = re.compile(f"[^\\W\\d_][{HYPHENS}][ \\t\\r]*$")
 
 def _words(text: str) -> set[str]:
     """The distinct words of a text; most pieces between blanks are words as they stand."""
-    out: set[str] = set()
+    pieces = set(text.split())
+    out = set(filter(str.isalpha, pieces))
     mixed = []
-    for piece in set(text.split()):
-        if piece.isalpha():
-            out.add(piece)
+    for piece in pieces - out:
+        if (bare := piece.strip(".,;:!?")).isalpha():
+            out.add(bare)
         else:
             mixed.append(piece)
     out.update(_WORD.findall("\n".join(mixed)))
     return {w.replace("ﬁ", "fi").replace("ﬂ", "fl") for w in out} if "ﬁ" in text or "ﬂ" in text else out
 
 
-def vocabulary(docs: DataFrame) -> tuple[dict[str, int], dict[str, float], int, int]:
-    """The words kept with their document counts, the letter triples of capitalised words with the number of distinct words
-    that hold them among ``NAMES``, the least count of a kept word, and the number of documents."""
+def counted(docs: DataFrame) -> DataFrame:
+    """(word, n): in how many documents each word stands, capitalised words once more after ``^``, and how often each stretch of
+    lines of documents that may hold furniture (``stretches``) after ``#``; the empty word for the documents themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quire.llm.quality import kind_of
+
         for batch in batches:
             counts: Counter[str] = Counter()
+            met: Counter[tuple] = Counter()
             for text in batch.column(1).to_pylist():
                 counts[""] += 1
                 if text:
                     words = _words(text)
                     counts.update({w.lower() for w in words})
                     counts.update({f"^{w.lower()}" for w in words if _CAPITAL.match(w)})
+                    if "\n" in text and _may_hold(lines := text.split("\n")) and not kind_of(text):
+                        met.update(stretches(symbols(lines)))
+            counts.update({f"#{x!r}": n for x, n in met.items()})
             yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
 
-    counts = lean(docs, "doc_id", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = cut(counts)
+    return cut(lean(docs, "doc_id", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> tuple[dict[str, int], dict[str, float], int, int]:
+    """The words kept with their document counts, the letter triples of capitalised words with the number of distinct words
+    that hold them among ``NAMES``, the least count of a kept word, and the number of documents. ``counts`` are those of ``counted``."""
+    counts = counted(docs) if counts is None else counts
     total = counts.filter("word = ''").agg(F.sum("n")).first()[0] or 0
     least = max(LEAST, round(total * SHARE))
-    words = counts.filter((F.col("n") >= least) & (F.length("word") > 1) & ~F.col("word").startswith("^")).collect()
+    words = counts.filter((F.col("n") >= least) & (F.length("word") > 1) & ~F.col("word").startswith("^") & ~F.col("word").startswith("#")).collect()
     names = counts.filter(F.col("word").startswith("^")).select(F.concat("word", F.lit("$")).alias("w"))
     triples = names.select(F.explode(F.expr("array_distinct(transform(sequence(1, length(w) - 2), i -> substring(w, i, 3)))")).alias("t")).groupBy("t").count()
     # NAMES times the triples of a name over three rows at most
@@ -102,6 +115,7 @@ class Reader:
     def __init__(self, words: dict[str, int], triples: dict[str, float], least: int, total: int = 0):
         self.words, self.triples, self.least, self.total = words, triples, least, total
         self.known: dict[str, str | None] = {}
+        self.unknown: dict[str, tuple[tuple[str, ...], float, bool, str | None]] = {}
         #: words that no much more frequent word can be read for
         self.sound = {w for w in words if self._of_vocabulary(w) == ""}
 
@@ -117,9 +131,17 @@ class Reader:
             if many > 1:
                 yield word.replace(seen, meant)
 
-    def commonness(self, word: str) -> float:
-        marked = f"^{word}$"
-        return min((self.triples.get(marked[i : i + 3], 0) for i in range(len(marked) - 2)), default=0)
+    def commonness(self, word: str, floor: float = 0) -> float:
+        """The count of the rarest triple of a word; 0 where it is below ``floor``."""
+        marked, get = f"^{word}$", self.triples.get
+        least = None
+        for i in range(len(marked) - 2):
+            n = get(marked[i : i + 3], 0)
+            if n == 0 or n < floor:
+                return 0
+            if least is None or n < least:
+                least = n
+        return least or 0
 
     def meant(self, word: str, beside: set[str]) -> str | None:
         """What a misread word stands for, None for a sound word. ``beside`` holds the lower-case words of its document."""
@@ -133,21 +155,32 @@ class Reader:
         found = self.known[low]
         if found is not None:
             return found or None
-        digits = any(map(str.isdigit, low))
-        best, best_count = None, 0
-        own = self.commonness(low)
-        for other in self.variants(low):
+        if low not in self.unknown:
+            if len(self.unknown) > 200_000:
+                self.unknown.clear()
+            self.unknown[low] = self._of_names(low)
+        forms, own, digits, best = self.unknown[low]
+        for other in forms:
             if other in beside and len(other) > 4 and (digits or self.commonness(other) > 4 * own):
                 return other
-            if word[0].isupper() or digits:
-                n = self.commonness(other)
-                if n > best_count:
-                    best, best_count = other, n
+        return best if digits or word[0].isupper() else None
+
+    def _of_names(self, low: str) -> tuple[tuple[str, ...], float, bool, str | None]:
+        """The variants of a word, its own commonness, whether it has digits, and the variant that a name or a word with digits
+        stands for, if any."""
+        forms, own, digits = tuple(self.variants(low)), self.commonness(low), any(map(str.isdigit, low))
+        # what counts below the floor decides nothing
+        floor = 3 if digits else max(40, own * 40)
+        best, best_count = None, 0
+        for other in forms if digits or len(low) >= 5 else ():
+            n = self.commonness(other, max(floor, best_count))
+            if n > best_count:
+                best, best_count = other, n
         if best is not None and not low.isupper() and len(low) >= 5 and best_count >= 40 and own * 40 <= best_count:
-            return best
+            return forms, own, digits, best
         if digits and re.search("[^\\W\\d_][015][^\\W\\d_]", low) and best_count >= 3:
-            return best
-        return None
+            return forms, own, digits, best
+        return forms, own, digits, None
 
     def _of_vocabulary(self, low: str) -> str | None:
         """A kept word that is much more frequent; '' for a sound word; None where the vocabulary cannot tell."""
@@ -159,13 +192,13 @@ class Reader:
                 best, best_n = other, m
         if best_n and best_n >= RARER * max(1, n) and len(low) > 3 - any(map(str.isdigit, low)):
             return best
-        if best_n == 0 and n < self.least:  # two letters of one word
+        if best_n == 0 and n < self.least and len(low) > 5:  # two letters of one word
             for first in self.variants(low):
                 for other in self.variants(first):
                     m = self.words.get(other, 0)
                     if m > best_n:
                         best, best_n = other, m
-            if best_n >= RARER * self.least and len(low) > 5:
+            if best_n >= RARER * self.least:
                 return best
         return "" if n >= self.least else None
 
@@ -225,6 +258,11 @@ def _may_be(line: str) -> bool:
     return not plain and _MAYBE.match(line) is not None
 
 
+def _may_hold(lines: list[str]) -> bool:
+    """Whether any line has a shape of furniture or a heading."""
+    return any(_may_be(b) for line in lines if (b := line.strip(" \t\r\x0c")))
+
+
 def symbols(lines: list[str]) -> list[tuple[float, float, float, float] | int]:
     """What each line of a document of prose shows: a state where nothing else is possible, else the symbol of its features, which is
     their score for each state before any fit."""
@@ -375,33 +413,44 @@ def maximised(seen: dict, steps: dict) -> Chain:
     return Chain(fitted, tuple(step))
 
 
-def fit(docs: DataFrame) -> Chain:
-    """The chain fitted on the sample: ``ROUNDS`` rounds of expected counts, one row for each symbol and state of a partition."""
-    # one document in so many, by the hash of its id: nothing is sorted, and no task gets more than its share of the sample
-    each = max(1, docs.count() // SAMPLE)
-    sample = lean(docs, "doc_id", "text").filter((F.pmod(F.xxhash64("doc_id"), F.lit(each)) == 0) & (F.instr("text", "\n") > 0))
-    sample = cut(sample.repartition(8, "doc_id"))
+def stretches(line_symbols: list) -> Iterator[tuple]:
+    """The lines of a document from one whose state is plain to the next, both included, after whether they are its first: given
+    the state of a line, those before and after it are independent."""
+    start, last = 0, len(line_symbols) - 1
+    for k, symbol in enumerate(line_symbols):
+        if k and (k == last or isinstance(symbol, int)):
+            yield (start == 0, *line_symbols[start : k + 1])
+            start = k
+    if last == 0:
+        yield (True, line_symbols[0])
+
+
+def fit(docs: DataFrame, counts: DataFrame | None = None) -> Chain:
+    """The chain fitted on all documents: ``ROUNDS`` rounds of expected counts, one row for each symbol and state of a partition.
+    ``counts`` are those of ``counted``."""
+    parts = cut((counted(docs) if counts is None else counts).filter(F.col("word").startswith("#")))
     chain = Chain()
     for _ in range(ROUNDS):
-        shared = sample.sparkSession.sparkContext.broadcast(chain)
+        shared = parts.sparkSession.sparkContext.broadcast(chain)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from quire.llm.quality import kind_of
-
             chain, all_seen, all_steps = shared.value, Counter(), Counter()  # noqa: B023
             for batch in batches:
-                for text in batch.column(1).to_pylist():
-                    lines = text.split("\n")
-                    if any(_may_be(b) for line in lines if (b := line.strip(" \t\r\x0c"))) and not kind_of(text):
-                        seen, steps = chain.expected(symbols(lines))
-                        all_seen.update(seen)
-                        all_steps.update(steps)
+                for part, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    first, *line_symbols = literal_eval(part[1:])
+                    seen, steps = chain.expected(line_symbols)
+                    if not first:  # the line itself belongs to what lies before
+                        seen[line_symbols[0], line_symbols[0]] -= 1
+                    for pair, v in seen.items():
+                        all_seen[pair] += n * v
+                    for pair, v in steps.items():
+                        all_steps[pair] += n * v
             rows = [("seen", repr(x), t, n) for (x, t), n in all_seen.items()] + [("step", repr(s), t, n) for (s, t), n in all_steps.items()]
             names, kinds = ["what", "symbol", "state", "n"], [pa.string(), pa.string(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else ([],) * 4, kinds, strict=True)], names)
 
         # symbols are the few combinations of features
-        sums = sample.mapInArrow(run, "what string, symbol string, state int, n double").groupBy("what", "symbol", "state").agg(F.sum("n").alias("n")).collect()
+        sums = parts.mapInArrow(run, "what string, symbol string, state int, n double").groupBy("what", "symbol", "state").agg(F.sum("n").alias("n")).collect()
         shared.unpersist()
         read = lambda what: {(literal_eval(r["symbol"]), r["state"]): r["n"] for r in sums if r["what"] == what}
         seen = read("seen")
@@ -419,7 +468,7 @@ def furniture(lines: list[str], chain: Chain | None = None) -> list[int]:
 def faults(text: str, reader: Reader, prose: bool = True, rebuild: bool = True, chain: Chain | None = None) -> tuple[list[tuple[int, str]], str | None]:
     """The faults (line number from 1, fault) of a text, and its continuous paragraphs where it has any."""
     lines = text.split("\n")
-    states = furniture(lines, chain) if prose and len(lines) > 1 and any(_may_be(b) for line in lines if (b := line.strip(" \t\r\x0c"))) else [TEXT if line.strip() else BREAK for line in lines]
+    states = furniture(lines, chain) if prose and len(lines) > 1 and _may_hold(lines) else [TEXT if line.strip() else BREAK for line in lines]
     out: list[tuple[int, str]] = [(i + 1, "furniture") for i, s in enumerate(states) if s == FURNITURE]
     # the words of the document; parts of divided words are judged as wholes
     kept = [i for i, s in enumerate(states) if s != FURNITURE and lines[i].strip(" \t\r\x0c")]
@@ -427,7 +476,7 @@ def faults(text: str, reader: Reader, prose: bool = True, rebuild: bool = True,
     body = [line.rstrip("\r") for line in lines]
     divided: dict[int, tuple[str, str]] = {}
     for i in kept:
-        if not _SPLIT.search(body[i]) or i not in follows:
+        if body[i].rstrip(" \t\r")[-1:] not in _HYPHENS or not _SPLIT.search(body[i]) or i not in follows:
             continue
         j = follows[i]
         left = re.search(r"[^\W_]+(?:[-’'][^\W_]+)*(?=[-‐¬\xad]\s*$)", body[i])
@@ -448,14 +497,16 @@ def faults(text: str, reader: Reader, prose: bool = True, rebuild: bool = True,
     for i, line in enumerate(body):
         if states[i] != FURNITURE:
             pieces.append(line.rstrip()[:-1] + "\x00" if i in divided else line + "\n")
-    running = re.sub("\x00[\\s\x0c]*", "", "".join(pieces)).replace("ﬁ", "fi").replace("ﬂ", "fl")
+    running = "".join(pieces)
+    running = (re.sub("\x00[\\s\x0c]*", "", running) if "\x00" in running else running).replace("ﬁ", "fi").replace("ﬂ", "fl")
     own = _words(running)
     if running.rstrip()[-1:].isalnum() and (tail := _WORD.findall(running.rsplit(None, 1)[-1])) and len(re.findall(re.escape(tail[-1]), running)) == 1:
         own.discard(tail[-1])  # a last word may be cut off
-    odd = [w for w in own if w.lower() not in reader.sound]
+    low = {w: w.lower() for w in own - reader.sound}
+    odd = [w for w, v in low.items() if v not in reader.sound]
     fixed: dict[str, str] = {}
     if odd:
-        beside = {w.lower() for w in own}
+        beside = own.union(low.values())
         for word in odd:
             for part in {word, *word.split("-")} if "-" in word else (word,):
                 if "’" in part or "'" in part:
@@ -530,8 +581,9 @@ def _paragraphs(lines: list[str], states: list[int], divided: dict[int, tuple[st
 
 
 def _each(docs: DataFrame, schema: str, rebuild: bool, rows) -> DataFrame:
-    chain = fit(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(docs))
+    counts = counted(docs)
+    chain = fit(docs, counts)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(docs, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quire.llm.garbled import repair

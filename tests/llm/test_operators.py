@@ -170,6 +170,26 @@ def test_a_corpus_without_lines_leaves_the_chain_as_it_was(spark):
     assert scans.fit(docs(spark, [(1, "one line"), (2, None)])).seen == {}
 
 
+def test_chain_is_fitted_on_every_document(spark):
+    """Some thousand pages of four kinds give the chain of the sums of expected counts over all of them."""
+    kinds = [f"A line of the text that\n{mark}\ngoes on over the page.\n\n{head}\n\n{PROSE}" for mark, head in (("12", "CHAPTER 2"), ("- 14 -", "PREFACE"), ("THE HARBOUR 31", "3."), ("A2", "THE OLD TOWN"))]
+    texts = [kinds[k % 7 % 4] for k in range(3300)]
+    chain = scans.Chain()
+    for _ in range(scans.ROUNDS):
+        seen, steps = {}, {}
+        for text in kinds:
+            n = texts.count(text)
+            for total, own in zip((seen, steps), chain.expected(scans.symbols(text.split("\n"))), strict=True):
+                for pair, v in own.items():
+                    total[pair] = total.get(pair, 0.0) + n * v
+        chain = scans.maximised(seen, steps)
+    got = scans.fit(docs(spark, enumerate(texts)))
+    assert got.seen.keys() == chain.seen.keys()
+    for symbol, scores in chain.seen.items():
+        assert got.seen[symbol] == pytest.approx(scores, abs=1e-9)
+    assert [v for row in got.step for v in row] == pytest.approx([v for row in chain.step for v in row], abs=1e-9)
+
+
 # --- 3 near duplicates
 
 
