@@ -217,6 +217,17 @@ def test_fuzzy_titles(spark):
     assert {tuple(r) for r in fuzzy_titles(Fake(), ratio=0.9).collect()} == sure | {(8, 9)}
 
 
+def test_titles_are_cleaned_once(spark):
+    """What meets more than once is not computed again from the table for each side of each join."""
+    from quire.operators.titles import fuzzy_titles
+
+    class Fake:
+        works = spark.createDataFrame([(1, "The Harbour of Dravosville", "Ada Farfosson"), (2, "Harbour of Dravosville", None)], "id long, title string, author string")
+
+    plan = fuzzy_titles(Fake())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(lower(title") + plan.count("regexp_replace(lower(coalesce(title") <= 8  # it was 245
+
+
 def test_categories_by_words(spark):
     rows = [(1, "The Garden", "old garden", "garden lamp lamp lamp"), (2, None, None, "harbour harbour harbour lamp"), (3, None, None, "harbour"), (4, "Book of the", None, None)]
     got = {r["doc_id"]: (r["name"], r["keywords"]) for r in T.word_category(spark.createDataFrame(rows, "doc_id long, title string, search_query string, text string")).collect()}
