@@ -228,6 +228,24 @@ def test_titles_are_cleaned_once(spark):
     assert plan.count("regexp_replace(lower(title") + plan.count("regexp_replace(lower(coalesce(title") <= 8  # it was 245
 
 
+def test_frequent_beginnings_are_compared_by_arrays(spark):
+    """All pairs of 300 titles of one beginning that letters and sizes leave, however many parts they are divided into."""
+    from pyspark.sql import functions as F
+
+    from quire.operators.titles import letters, near_pairs
+
+    texts = [f"a history of the {'harbour' * (k % 3)} {chr(97 + k % 26)}{chr(97 + k // 26)} of {'dravos' if k % 2 else 'farfos'}ville" for k in range(300)]
+    longs = letters(F.col("t"))
+    told = spark.createDataFrame(list(enumerate(texts)), "tk long, t string").select(F.lit(7).cast("long").alias("k"), "tk", F.length("t").cast("long").alias("size"), *[v.alias(f"v{n}") for n, v in enumerate(longs)])
+    names = [f"v{n}" for n in range(len(longs))]
+    rows = [r.asDict() for r in told.collect()]
+    near = lambda a, b: max(sum((a[v] ^ b[v]).bit_count() for v in names), abs(a["size"] - b["size"])) <= (1 - 0.9) * (a["size"] + b["size"]) + 1e-9
+    want = {(a["tk"], b["tk"]) for a in rows for b in rows if a["tk"] < b["tk"] and near(a, b)}
+    assert 0 < len(want) < 300 * 299 // 2
+    for block in (40, 4096):
+        assert {tuple(r) for r in near_pairs(told, names, 0.9, block).collect()} == want
+
+
 def test_categories_by_words(spark):
     rows = [(1, "The Garden", "old garden", "garden lamp lamp lamp"), (2, None, None, "harbour harbour harbour lamp"), (3, None, None, "harbour"), (4, "Book of the", None, None)]
     got = {r["doc_id"]: (r["name"], r["keywords"]) for r in T.word_category(spark.createDataFrame(rows, "doc_id long, title string, search_query string, text string")).collect()}
