@@ -70,6 +70,29 @@ def test_linkage(spark):
     assert got == {(1, 1), (2, 2), (3, 3), (6, 5)}
 
 
+def test_spelling_is_compared_only_as_far_as_it_counts():
+    """The whole distance where words are spelled alike, 0 where they are not, and each two words once."""
+
+    def distance(a, b):
+        rows = {(i, j): max(i, j) for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
+        for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
+            rows[i, j] = min(rows[i - 1, j] + 1, rows[i, j - 1] + 1, rows[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                rows[i, j] = min(rows[i, j], rows[i - 2, j - 2] + 1)
+        return rows[len(a), len(b)]
+
+    draw = random.Random(3)
+    words = ["harbour", "harbuor", "experiment", "barometer", "dravosville", "dravosvile", "ab", "ba", "a", ""]
+    words += ["".join(draw.choice("abc") for _ in range(draw.randrange(1, 12))) for _ in range(60)]
+    linkage.ratio.cache_clear()
+    for _ in range(2):
+        for a, b in itertools.product(words, words):
+            own = 1 - distance(a, b) / max(len(a), len(b), 1)
+            assert linkage.ratio(a, b) == (pytest.approx(own) if own >= linkage.SPELT else 0.0)
+    kept = linkage.ratio.cache_info()
+    assert kept.hits >= kept.misses
+
+
 def test_linkage_of_empty_tables(spark):
     assert linkage.found(works(spark).limit(0), records(spark)).collect() == []
     assert linkage.found(works(spark), records(spark).limit(0)).collect() == []
