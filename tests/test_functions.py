@@ -246,6 +246,35 @@ def test_frequent_beginnings_are_compared_by_arrays(spark):
         assert {tuple(r) for r in near_pairs(told, names, 0.9, block).collect()} == want
 
 
+def test_titles_match_by_characters_wherever_they_differ(spark, tmp_path):
+    """fuzzy_title_match finds all pairs of nine tenths of their characters, be their beginnings, ends and words all different,
+    and its SQL counts as difflib does, with letters that are frequent in long titles."""
+    import random
+    from difflib import SequenceMatcher
+
+    from compare import connect, differ
+
+    from quire.plans import queries as plans
+
+    rng = random.Random(7)
+    made = [" ".join("".join(rng.choice("abcdefghijklmnoprstuvwy") for _ in range(rng.randrange(3, 9))) for _ in range(n)) for n in (2, 3, 4, 5, 6, 7, 8, 9, 36, 40)]
+
+    def other(title):
+        """A letter in each word is another one, or only in some."""
+        words = title.split()
+        return " ".join(w[:k] + rng.choice("qxz") + w[k + 1 :] if rng.random() < 0.6 else w for w in words for k in [rng.randrange(len(w))])
+
+    texts = sorted({t for title in made for t in (title, *(other(title) for _ in range(6)))} | {"abcdefghij klmnopqrst uvwxyzbcde", "zbcdefghij xlmnopqrst uvwxyzbcdq", made[-1][:-3] + "qqq"})
+    spark.createDataFrame([(k, t.title(), None) for k, t in enumerate(texts)], "id long, title string, author string").coalesce(1).write.parquet(f"{tmp_path}/works.parquet")
+    match = lambda a, b: max(SequenceMatcher(None, a, b).ratio(), SequenceMatcher(None, b, a).ratio()) >= 0.9
+    want = {(a, b) for a, t in enumerate(texts) for b, u in enumerate(texts) if a < b and match(t, u)}
+    apart = {(a, b) for a, b in want if not set(texts[a].split()) & set(texts[b].split()) and texts[a][:6] != texts[b][:6] and texts[a][-6:] != texts[b][-6:]}
+    assert apart and any(len(texts[b]) >= 200 for _, b in want)
+    got = plans.queries()["fuzzy_title_match"](spark, str(tmp_path))
+    assert want <= {tuple(r) for r in got.collect()}
+    assert differ(got, connect(str(tmp_path)), plans.oracle_sql()["fuzzy_title_match"]) == ""
+
+
 def test_categories_by_words(spark):
     rows = [(1, "The Garden", "old garden", "garden lamp lamp lamp"), (2, None, None, "harbour harbour harbour lamp"), (3, None, None, "harbour"), (4, "Book of the", None, None)]
     got = {r["doc_id"]: (r["name"], r["keywords"]) for r in T.word_category(spark.createDataFrame(rows, "doc_id long, title string, search_query string, text string")).collect()}
