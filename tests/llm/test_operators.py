@@ -129,6 +129,27 @@ def test_over_full_titles_and_combinations_are_joined_in_blocks(spark):
     assert true_edges(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), rare=4, block=7) == {*range(30), *range(100, 130)}
 
 
+def test_over_full_keys_are_joined_only_where_they_can_decide(spark, monkeypatch):
+    """Listings whose heaviest edge outweighs all that over-full keys can add don't go through their blocks, and no edge changes."""
+    names = [f"{a}{b}{c}" for a in ("dravos", "farfos", "wesgif") for b in ("ville", "minster", "garth", "combe") for c in ("ham", "ford", "wick")]
+    left = [(k, f"Letters from {a} concerning Moral {names[-k]}", None) for k, a in enumerate(names)]
+    # the last ones have no word of the works' names, or one that is misspelt
+    right = [(k, f"Letters from {a} concerning Moral {names[-k]}", None) for k, a in enumerate(names[:24])] + [(24 + k, f"Letters from X{k} concerning Moral {n[:4]}q{n[5:]}", None) for k, n in enumerate(names[:6])] + [(40, "Letters from Y concerning Moral", None)]
+    left, right = (spark.createDataFrame(rows, "id long, title string, author string") for rows in (left, right))
+    joined, blocks = [], linkage._met_in_blocks
+
+    def spied(members, block):
+        joined.append(members.filter("not work").select("cls").distinct().count())
+        return blocks(members, block)
+
+    monkeypatch.setattr(linkage, "_met_in_blocks", spied)
+    some = linkage.edges(left, right, rare=4, block=7)[0]
+    monkeypatch.setattr(linkage, "_pending", lambda near, most: most.select("r"))
+    every = linkage.edges(left, right, rare=4, block=7)[0]
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.collect())) != []
+    assert 0 < joined[0] < 12 and joined[1] == 31
+
+
 def test_every_author_counts():
     words, _, persons, _ = linkage.parse("A harbour", "Ada Farfosson; Jasper Dunmosquist; Cornelia Dravena; Nils Wesgifeund")
     other = linkage.attributes(words, [("wesgifeund", "nils")])
